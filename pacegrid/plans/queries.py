@@ -37,6 +37,7 @@ QUERIES: dict[str, Query] = {}
 FIRST_LOAD_UNTIL = dt.date(2001, 7, 1)
 SECOND_LOAD_FROM = dt.date(2000, 7, 1)
 TABLE_BUCKETS = 8
+DEGREES = {"lat", "lon", "start_lat", "start_lon"}
 
 WHAT_IF = [
     {"delta_sec": -300, "target": "Half-Marathon", "elev": 0.0, "exponent": 1.00},
@@ -57,12 +58,12 @@ def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Doubles to ``digits`` places, small integers widened to int."""
+    """Doubles to ``digits`` places (degrees to six), small integers widened to int."""
     columns = []
     for name, kind in df.dtypes:
         column = F.col(f"`{name}`")
         if kind == "double":
-            column = F.round(column, digits)
+            column = F.round(column, 6 if name in DEGREES else digits)
         elif kind in ("smallint", "tinyint"):
             column = column.cast("int")
         columns.append(column.alias(name))
@@ -560,7 +561,7 @@ def normalise_activities(t: Tables) -> DataFrame:
     summary = F.struct(
         key.alias("id"),
         F.lit("Run").alias("type"),
-        F.when(key % 13 != 0, F.col("o_totalprice") / 10).alias("distance"),
+        F.when(key % 13 != 0, F.col("o_totalprice") / 7).alias("distance"),
         F.when(key % 17 != 0, (key % 5000 + 600).cast("int")).alias("elapsed_time"),
         start.alias("start_date"),
         start.alias("start_date_local"),
