@@ -32,49 +32,60 @@ def climb_adjusted(
     return riegel(flat_sec, from_m, to_m) + CLIMB_SEC_PER_KM * to_climb * to_m / 1000
 
 
-def _oxygen_cost(speed: Column) -> Column:
+# The VDOT formulas are SQL text: one parsed expression per step instead of one call into
+# the JVM per operator, which dominates the cost of building a plan of this shape.
+
+
+def _cost(speed: str) -> str:
     c0, c1, c2 = COST
-    return c0 + c1 * speed + c2 * speed * speed
+    return f"({c0}D + {c1}D * {speed} + {c2}D * {speed} * {speed})"
+
 
+def _share(minutes: str) -> str:
+    decays = [f"{size}D * exp(-{rate}D * ({minutes}))" for size, rate in SHARE_DECAYS]
+    return f"({SHARE_FLOOR}D + {' + '.join(decays)})"
 
-def _held_share(minutes: Column) -> Column:
-    share = F.lit(SHARE_FLOOR)
-    for size, rate in SHARE_DECAYS:
-        share = share + size * F.exp(-rate * minutes)
-    return share
 
+def _add(df: DataFrame, name: str, expression: str) -> DataFrame:
+    kept = [f"`{c}`" for c in df.columns if c != name]
+    return df.selectExpr(*kept, f"{expression} AS `{name}`")
 
-def vdot(distance_m: Column, sec: Column) -> Column:
-    minutes = sec / 60
-    return _oxygen_cost(distance_m / minutes) / _held_share(minutes)
 
+def with_vdot(df: DataFrame, distance: str, sec: str, out: str) -> DataFrame:
+    """Add the VDOT of running ``distance`` metres in ``sec`` seconds, NULL unless positive."""
+    cost, share = _cost(f"({distance} * 60 / {sec})"), _share(f"{sec} / 60")
+    return _add(df, out, f"CASE WHEN {sec} > 0 THEN {cost} / {share} END")
 
-def with_vdot_time(df: DataFrame, vdot_col: str, distance_col: str, out: str) -> DataFrame:
-    """Add the seconds in which ``distance_col`` metres take ``vdot_col``.
+
+def with_vdot_time(df: DataFrame, level: str, distance: str, out: str) -> DataFrame:
+    """Add the seconds in which ``distance`` metres take VDOT ``level``.
 
     Written in speed, cost(v) - vdot * share(d / v) is close to linear, so a few Newton
     steps settle it to the last digits. Every step is its own projection: generated
     code evaluates it once per row and no UDF is needed. Speeds are held just outside
     the searched range, so a root beyond that range shows as an out-of-range time: NULL.
     """
-    level, dist, speed = F.col(vdot_col), F.col(distance_col), F.col("_speed")
     c0, c1, c2 = COST
-    slowest, fastest = dist / (MAX_MINUTES * 1.25), dist / (MIN_MINUTES * 0.8)
-
-    def held(guess: Column) -> Column:
-        # CASE, not least/greatest: those would turn a NULL guess into a bound.
-        return F.when(guess < slowest, slowest).when(guess > fastest, fastest).otherwise(guess)
-
-    room = F.greatest(F.lit(0.0), c1 * c1 - 4 * c2 * (c0 - 0.9 * level))
-    first = F.when(level.isNotNull(), (F.sqrt(room) - c1) / (2 * c2))
-    df = df.withColumn("_next", first).withColumn("_speed", held(F.col("_next")))
+    slowest = f"({distance} / {MAX_MINUTES * 1.25}D)"
+    fastest = f"({distance} / {MIN_MINUTES * 0.8}D)"
+    # CASE, not least/greatest: those would turn a NULL guess into a bound.
+    held = (
+        f"CASE WHEN _next < {slowest} THEN {slowest} "
+        f"WHEN _next > {fastest} THEN {fastest} ELSE _next END"
+    )
+    minutes = f"({distance} / _speed)"
+    decays = [
+        f"{size}D * {rate}D * exp(-{rate}D * {minutes})" for size, rate in SHARE_DECAYS
+    ]
+    slope = (
+        f"({c1}D + 2 * {c2}D * _speed - {level} * ({' + '.join(decays)}) * {minutes} / _speed)"
+    )
+    room = f"greatest(0D, {c1}D * {c1}D - 4 * {c2}D * ({c0}D - 0.9D * {level}))"
+    first = f"CASE WHEN {level} IS NOT NULL THEN (sqrt({room}) - {c1}D) / (2 * {c2}D) END"
+    df = _add(_add(df, "_next", first), "_speed", held)
     for _ in range(NEWTON_STEPS):
-        minutes = dist / speed
-        slope = F.lit(c1) + 2 * c2 * speed
-        for size, rate in SHARE_DECAYS:
-            slope = slope - level * size * rate * F.exp(-rate * minutes) * minutes / speed
-        step = (_oxygen_cost(speed) - level * _held_share(minutes)) / slope
-        df = df.withColumn("_next", speed - step).withColumn("_speed", held(F.col("_next")))
-    minutes = dist / speed
-    in_range = minutes.between(MIN_MINUTES, MAX_MINUTES)
-    return df.withColumn(out, F.when(in_range, minutes * 60)).drop("_speed", "_next")
+        step = f"({_cost('_speed')} - {level} * {_share(minutes)}) / {slope}"
+        df = _add(_add(df, "_next", f"_speed - {step}"), "_speed", held)
+    in_range = f"{minutes} BETWEEN {MIN_MINUTES}D AND {MAX_MINUTES}D"
+    df = _add(df, out, f"CASE WHEN {in_range} THEN {minutes} * 60 END")
+    return df.drop("_speed", "_next")

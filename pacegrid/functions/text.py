@@ -28,6 +28,12 @@ def format_time(seconds: Column) -> Column:
     return F.when(total.isNull(), F.lit("-")).when(hours != 0, long).otherwise(short)
 
 
+def round_half_even(value: Column, digits: int) -> Column:
+    """Round the scaled double to the nearest whole number, halves to even."""
+    scale = 10**digits
+    return F.rint(value * scale) / scale
+
+
 def signed_pct(pct: Column) -> Column:
     """``+1.2%`` style text, empty where there is no percentage."""
     text = F.format_string("%+.1f%%", F.bround(pct, 1))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pacegrid import schema
 from pacegrid.functions import race
-from pacegrid.functions.text import format_time
+from pacegrid.functions.text import format_time, round_half_even
 from pacegrid.operators.joins import salted_join
 from pacegrid.operators.rollups import add_names
 from pacegrid.operators.trend import trend_at
@@ -152,10 +152,8 @@ def forecast(
     }
     keep = pairs.columns
     if "vdot" in methods:
-        level = F.when(sec > 0, race.vdot(from_m, F.when(sec > 0, sec)))
-        pairs = race.with_vdot_time(
-            pairs.withColumn("_vdot", level), "_vdot", "target_m", "_vdot_sec"
-        )
+        pairs = race.with_vdot(pairs, "source_m", "source_sec", "_vdot")
+        pairs = race.with_vdot_time(pairs, "_vdot", "target_m", "_vdot_sec")
     rows = F.array(
         *[F.struct(F.lit(m).alias("method"), predicted[m].alias("predicted_sec")) for m in methods]
     )
@@ -238,7 +236,7 @@ def forecast_pivot(rf: DataFrame, athletes: DataFrame) -> DataFrame:
         .groupBy("athlete_id", "target_distance_label")
         .pivot("method", schema.METHODS)
         .agg(
-            F.round(F.first("error_pct"), 1).alias("error"),
+            round_half_even(F.first("error_pct"), 1).alias("error"),
             F.first("actual_sec").alias("actual"),
         )
     )

@@ -17,7 +17,7 @@ from pacegrid.functions.calendar import (
     week_rel,
     week_start,
 )
-from pacegrid.functions.text import display_name, format_time, pace_label, signed_pct
+from pacegrid.functions.text import display_name, format_time, pace_label, round_half_even, signed_pct
 from pacegrid.operators.calendar import with_week
 
 TOTALS = ("total_km", "n_runs", "total_sec")
@@ -207,7 +207,7 @@ def history(
             F.sum("duration_sec").alias("duration_sec"),
             F.sum("elev_gain_m").alias("elev_gain_m"),
         )
-        .withColumn("hours", F.round(F.col("duration_sec") / 3600, 2))
+        .withColumn("hours", round_half_even(F.col("duration_sec") / 3600, 2))
     )
 
 

@@ -75,8 +75,8 @@ PARTS = {
         CASE WHEN o_orderkey % 7 = 0 THEN 'Ride' ELSE 'Run' END AS activity_type,
         o_custkey AS athlete_id, 'Athlete ' || o_custkey AS athlete_name,
         CAST(o_orderdate AS DATE) AS date, o_orderdate AS start_time_utc,
-        CAST(floor(o_totalprice / 12000 * (240 + o_orderkey % 180)) AS INT) AS duration_sec,
-        o_totalprice / 12000 AS distance_km,
+        CAST(floor(o_totalprice / 11987 * (240 + o_orderkey % 180)) AS INT) AS duration_sec,
+        o_totalprice / 11987 AS distance_km,
         CAST(o_custkey % 37 AS DOUBLE) * 10 AS elev_gain_m,
         CASE WHEN o_orderkey % 11 <> 0 THEN CAST(120 + o_orderkey % 60 AS DOUBLE) END AS hr_avg,
         CAST(70 + o_orderkey % 25 AS DOUBLE) AS cad_avg
@@ -326,7 +326,7 @@ _history = lambda unit, bound: sql(
     "activities",
     f"""SELECT athlete_id, CAST(date_trunc('{unit}', date) AS DATE) AS period,
       round(sum(distance_km), 4) AS distance_km, CAST(sum(duration_sec) AS BIGINT) AS duration_sec,
-      round(sum(elev_gain_m), 4) AS elev_gain_m, round(sum(duration_sec) / 3600.0, 2) AS hours
+      round(sum(elev_gain_m), 4) AS elev_gain_m, round_even(sum(duration_sec) / 3600 * 100, 0) / 100 AS hours
     FROM activities WHERE date > {bound} GROUP BY ALL""",
 )
 _pair_parts = f"{EFFORTS} pbs"
@@ -671,7 +671,7 @@ ORACLE: dict[str, str] = {
         f"""SELECT f.athlete_id, target_distance_label,
           {_time_text("max(actual_sec)")} AS actual_time,
           {", ".join(
-              f"round(max(error_pct) FILTER (WHERE method = '{m}'), 1) AS {m}"
+              f"round_even(max(error_pct) FILTER (WHERE method = '{m}') * 10, 0) / 10 AS {m}"
               for m in schema.METHODS
           )}, {_name("t", "f.athlete_id")} AS name
         FROM {_FINAL} f LEFT JOIN athletes t USING (athlete_id)
@@ -751,7 +751,7 @@ ORACLE: dict[str, str] = {
           CAST(o_orderdate AS DATE) AS date,
           CASE WHEN o_orderkey % 17 <> 0 THEN CAST(o_orderkey % 5000 + 600 AS INT) ELSE 0 END
             AS duration_sec,
-          CASE WHEN o_orderkey % 13 <> 0 THEN o_totalprice / 7 / 1000 ELSE 0 END AS km,
+          CASE WHEN o_orderkey % 13 <> 0 THEN o_totalprice / 11987 ELSE 0 END AS km,
           CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey % 300 AS DOUBLE) ELSE 0 END
             AS elev_gain_m FROM orders)""",
     "explode_streams": """SELECT o_orderkey AS activity_id, i * 5 AS time_s,

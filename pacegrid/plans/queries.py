@@ -25,7 +25,7 @@ from pacegrid.operators import (
     streams,
     trend,
 )
-from pacegrid.plans.bindings import AS_OF, RACE_DATE, RACE_DAYS, RACE_KM, Tables, dict_text
+from pacegrid.plans.bindings import AS_OF, KM_PRICE, RACE_DATE, RACE_DAYS, RACE_KM, Tables, dict_text
 from pacegrid.session import work_folder
 from pacegrid.sources import clean, files, payloads, tables
 from pacegrid.streaming import ingest
@@ -561,7 +561,7 @@ def normalise_activities(t: Tables) -> DataFrame:
     summary = F.struct(
         key.alias("id"),
         F.lit("Run").alias("type"),
-        F.when(key % 13 != 0, F.col("o_totalprice") / 7).alias("distance"),
+        F.when(key % 13 != 0, F.col("o_totalprice") / KM_PRICE * 1000).alias("distance"),
         F.when(key % 17 != 0, (key % 5000 + 600).cast("int")).alias("elapsed_time"),
         start.alias("start_date"),
         start.alias("start_date_local"),
