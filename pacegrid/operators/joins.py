@@ -18,10 +18,12 @@ def salted_join(
 ) -> DataFrame:
     """Join on ``on`` with the rows of each key of ``big`` spread over ``salts`` tasks.
 
-    ``small`` holds few rows per key and is repeated once per salt. ``spread_by`` names
-    columns of ``big`` that vary within a key; the salt is a hash of them, so it is the
-    same when a lost task runs again. Works for inner, left, left_semi and left_anti.
+    ``small`` holds few rows per key and is repeated once per salt. The salt of a row comes
+    from columns that vary within a key, ``spread_by``, and from its partition, which sets
+    exact copies apart; it is the same when a lost task runs again. Works for inner, left,
+    left_semi and left_anti.
     """
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    place = F.xxhash64(*spread_by) % salts + F.spark_partition_id()
+    salt = F.pmod(place, F.lit(salts)).cast("int")
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return big.withColumn("_salt", salt).join(repeated, [on, "_salt"], how).drop("_salt")

@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from pacegrid import schema
 from pacegrid.operators.dedupe import dedupe_on
+from pacegrid.session import apply_settings
 
 AS_OF = dt.date(2001, 7, 25)
 RACE_KM = (19.0, 23.0)
 RACE_DAYS = (dt.date(2001, 1, 1), dt.date(2001, 6, 30))
 RACE_DATE = dt.date(2001, 6, 24)
+# A day in a week in which activities with streams took place.
+MAP_DAY = dt.date(2000, 7, 19)
 
 
 # An odd divisor: no distance then falls half-way between two rounded values.
@@ -26,8 +29,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self.opened: dict[str, DataFrame] = {}
-        # Timestamps in the files are naive UTC; dates must not depend on the session's zone.
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        apply_settings(spark)
 
     def read(self, name: str) -> DataFrame:
         """A table of the folder; its footer is read once, not once per use."""

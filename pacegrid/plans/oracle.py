@@ -395,12 +395,12 @@ ORACLE: dict[str, str] = {
           WINDOW w AS (PARTITION BY activity_id)) WHERE n_hr + n_watts > 0""",
     ),
     "week_gps_points": sql(
-        f"activities weekly athletes {STREAM}",
+        f"activities athletes {STREAM}",
         f"""SELECT w.activity_id, time_s, round(lat, 6) AS lat, round(lon, 6) AS lon, w.athlete_id,
           {_name("t", "w.athlete_id")} AS name
-        FROM weekly w JOIN stream s ON s.activity_id = w.activity_id
+        FROM activities w JOIN stream s ON s.activity_id = w.activity_id
         LEFT JOIN athletes t ON t.athlete_id = w.athlete_id
-        WHERE week_rel = 0 AND lat IS NOT NULL AND lon IS NOT NULL""",
+        WHERE date BETWEEN DATE '2000-07-17' AND DATE '2000-07-23' AND lat IS NOT NULL AND lon IS NOT NULL""",
     ),
     "dim_date": sql("activities calendar", "SELECT * FROM calendar"),
     "week_list": sql(

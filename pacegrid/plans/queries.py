@@ -25,7 +25,7 @@ from pacegrid.operators import (
     streams,
     trend,
 )
-from pacegrid.plans.bindings import AS_OF, KM_PRICE, RACE_DATE, RACE_DAYS, RACE_KM, Tables, dict_text
+from pacegrid.plans.bindings import AS_OF, KM_PRICE, MAP_DAY, RACE_DATE, RACE_DAYS, RACE_KM, Tables, dict_text
 from pacegrid.session import work_folder
 from pacegrid.sources import clean, files, payloads, tables
 from pacegrid.streaming import ingest
@@ -122,7 +122,7 @@ def channel_series(t: Tables) -> DataFrame:
 @query
 def week_gps_points(t: Tables) -> DataFrame:
     points = streams.gps_points(t.stream())
-    return streams.points_of_week(t.activities(), t.athletes(), points, AS_OF)
+    return streams.points_of_week(t.activities(), t.athletes(), points, MAP_DAY)
 
 
 # --- calendar --------------------------------------------------------------------------

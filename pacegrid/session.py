@@ -15,12 +15,21 @@ SQL_SETTINGS = {
 }
 
 
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Set what the operators rely on in a session made elsewhere: UTC dates and
+    adaptive execution that splits skewed joins even at the price of a further shuffle."""
+    for key, value in SQL_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cpus: str = "8", app: str = "pacegrid") -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus.replace("*", "8"))
     )

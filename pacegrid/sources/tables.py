@@ -69,10 +69,15 @@ def refresh_table(df: DataFrame, path: str) -> None:
 def new_rows(batch: DataFrame, existing_keys: DataFrame, key: str) -> DataFrame:
     """Batch rows whose key is not among the existing ones; duplicates inside stay.
 
-    One key may hold a large share of the batch, so its rows are spread over salts.
+    Rows without a key match nothing and stay too. The existing keys meet only the
+    distinct keys of the batch. The new ones among them pick the rows, with the rows of
+    each key spread over salts, as one key may hold a large share of the batch.
     """
+    keyed = F.col(key).isNotNull()
+    fresh = batch.where(keyed).select(key).distinct().join(existing_keys, key, "left_anti")
     others = [c for c, t in batch.dtypes if c != key and not t.startswith("map")]
-    return salted_join(batch, existing_keys, key, "left_anti", others or [key])
+    chosen = salted_join(batch, fresh, key, "left_semi", others or [key])
+    return chosen.select(*batch.columns).unionByName(batch.where(~keyed))
 
 
 def insert_only(batch: DataFrame, path: str, key: str) -> None:
@@ -135,12 +140,14 @@ def bronze_schema(table: str) -> T.StructType:
 def load_layers(batch: DataFrame, root: str, table: str) -> None:
     """Load a batch into bronze, as it is and first version only, and into silver.
 
-    Silver has the declared columns, one row per primary key, and the table's load rule.
+    Silver has the declared columns, one row per primary key, and the table's load rule;
+    rows without a key stay in bronze.
     """
     rule, key = LOAD_RULES[table]
     batch = staged(batch)
     insert_only(stamped(conform(batch, bronze_schema(table))), f"{root}/bronze/{table}", key)
     pk = declared.PRIMARY_KEY[table]
-    silver = dedupe_on(conform(batch, declared.SILVER[table]), pk)
+    placed = conform(batch, declared.SILVER[table]).dropna(subset=[*pk, key])
+    silver = dedupe_on(placed, pk)
     load = insert_only if rule == "insert_only" else upsert
     load(silver, f"{root}/silver/{table}", key)
