@@ -23,7 +23,9 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: str = "8", app: str = "pacegrid") -> SparkSession:
+def local_session(
+    cpus: str = "8", app: str = "pacegrid", extra: dict[str, str] | None = None
+) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -33,7 +35,7 @@ def local_session(cpus: str = "8", app: str = "pacegrid") -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus.replace("*", "8"))
     )
-    for key, value in SQL_SETTINGS.items():
+    for key, value in {**SQL_SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

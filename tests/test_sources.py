@@ -60,7 +60,7 @@ def test_union_by_name_fills_missing(spark):
     a = spark.createDataFrame([(1, 2)], "x int, y int")
     b = spark.createDataFrame([(3, 4)], "z int, x int")
     rows = files.union_by_name([a, b]).orderBy("x").collect()
-    assert [tuple(r) for r in rows] == [(1, 2, None), (3, None, 4)]
+    assert [tuple(r) for r in rows] == [(1, 2, None), (4, None, 3)]
 
 
 def test_file_names(spark):
