@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pacegrid.functions.calendar import day, week_start
-from pacegrid.functions.text import display_name
+from pacegrid.operators.rollups import athlete_names
 
 TRAIN_WEEKS = 16
 TAPER_WEEKS = 3
@@ -32,10 +32,7 @@ def race_athletes(
         .select("athlete_id")
         .distinct()
     )
-    known = athletes.select(
-        "athlete_id",
-        display_name(F.col("firstname"), F.col("lastname"), F.col("athlete_id")).alias("name"),
-    )
+    known = athlete_names(athletes)
     matching = known.join(raced, "athlete_id", "left_semi")
     return matching.unionByName(known.where(~matching.select("athlete_id").exists()))
 

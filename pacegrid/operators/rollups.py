@@ -121,6 +121,17 @@ def day_runs(activities: DataFrame, athletes: DataFrame, on: dt.date) -> DataFra
     )
 
 
+def day_pace(activities: DataFrame, athletes: DataFrame, on: dt.date) -> DataFrame:
+    """One row per athlete who ran on a day: total distance, and pace over all their runs."""
+    per_athlete = (
+        activities.where(F.col("date") == day(on))
+        .groupBy("athlete_id")
+        .agg(F.sum("distance_km").alias("km"), F.sum("duration_sec").alias("sec"))
+    )
+    pace = F.try_divide(F.col("sec"), F.col("km"))
+    return add_names(per_athlete, athletes).withColumn("pace_sec", pace)
+
+
 def squad_weeks(
     activities: DataFrame, athletes: DataFrame, as_of: dt.date, weeks: int = 4
 ) -> DataFrame:
@@ -244,6 +255,20 @@ def day_grid(
     )
 
 
+def athlete_names(athletes: DataFrame) -> DataFrame:
+    name = display_name(F.col("firstname"), F.col("lastname"), F.col("athlete_id"))
+    return athletes.select("athlete_id", name.alias("name"))
+
+
 def athlete_details(athletes: DataFrame, athlete_id: int | None = None) -> DataFrame:
     columns = ["athlete_id", "sex", "weight", "city", "country"]
     return _of_athlete(athletes, athlete_id).select(*columns)
+
+
+def activity_card(activities: DataFrame, activity_id: int | None = None) -> DataFrame:
+    """The overview figures of each activity, or of one."""
+    if activity_id is not None:
+        activities = activities.where(F.col("activity_id") == activity_id)
+    return activities.select(
+        "activity_id", "distance_km", format_time(F.col("duration_sec")).alias("total_time")
+    )

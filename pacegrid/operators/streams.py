@@ -78,8 +78,10 @@ def hops(stream: DataFrame) -> DataFrame:
         "entry_m",
         (F.coalesce(before, F.lit(0.0)) + F.col("entry_m")).alias("start_m"),
     )
+    # Every chunk has its summary row. A left join adds no filter to one side only, so that
+    # both readings of the stream share the exchanges below.
     return (
-        local.join(carried, ["activity_id", "chunk"])
+        local.join(carried, ["activity_id", "chunk"], "left")
         .withColumn("hop_m", F.when(F.col("opens_chunk"), F.col("entry_m")).otherwise(F.col("hop_m")))
         .withColumn("cum_m", F.col("start_m") + F.col("local_m"))
         .withColumn("km", (F.floor(F.col("cum_m") / 1000) + 1).cast("int"))

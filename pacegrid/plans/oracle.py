@@ -501,6 +501,14 @@ ORACLE: dict[str, str] = {
         FROM activities a LEFT JOIN athletes t USING (athlete_id)
         WHERE date = {AS_OF} AND distance_km > 0""",
     ),
+    "day_pace": sql(
+        "activities athletes",
+        f"""SELECT a.athlete_id, round(sum(distance_km), 4) AS km,
+          CAST(sum(duration_sec) AS BIGINT) AS sec, {_name("t", "a.athlete_id")} AS name,
+          round(sum(duration_sec) / sum(distance_km), 4) AS pace_sec
+        FROM activities a LEFT JOIN athletes t USING (athlete_id) WHERE date = {AS_OF}
+        GROUP BY a.athlete_id, t.firstname, t.lastname""",
+    ),
     "squad_4week": sql(
         "activities weekly athletes",
         f"""SELECT w.athlete_id, week_rel, CAST(date_trunc('week', date) AS DATE)
@@ -539,6 +547,14 @@ ORACLE: dict[str, str] = {
     "athlete_details": sql(
         "athletes", "SELECT athlete_id, sex, weight, city, country FROM athletes"
     ),
+    "athlete_names": sql(
+        "athletes", f"SELECT athlete_id, {_name('athletes', 'athlete_id')} AS name FROM athletes"
+    ),
+    "activity_card": sql(
+        "activities",
+        f"""SELECT activity_id, round(distance_km, 4) AS distance_km,
+          {_time_text("duration_sec")} AS total_time FROM activities""",
+    ),
     "history_monthly": _history("month", "DATE '2000-07-25'"),
     "history_weekly": _history("week", "DATE '2000-07-26'"),
     "day_grid": _day_grid(4),
@@ -771,6 +787,10 @@ ORACLE: dict[str, str] = {
           CAST(NULL AS VARCHAR) AS source FROM activities""",
     ),
     "read_keys": "SELECT DISTINCT l_orderkey FROM lineitem",
+    "union_keys": """SELECT user_id AS activity_id FROM events
+        UNION SELECT l_orderkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)""",
+    "new_activity_count": """SELECT count(DISTINCT o_orderkey) AS n_new FROM orders
+        WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
     "union_by_name": sql(
         f"activities {EFFORTS}",
         """SELECT activity_id, round(distance_km, 4) AS distance_km,

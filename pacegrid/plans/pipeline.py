@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pacegrid import schema
 from pacegrid.operators import calendar, forecast, streams, trend
 from pacegrid.sources import tables
+from pacegrid.sources.clean import clean_profiles
 from pacegrid.sources.files import conform, read_keys
 
 
@@ -17,6 +18,11 @@ def silver(spark: SparkSession, root: str, table: str) -> DataFrame:
     return tables.read_table(spark, f"{root}/silver/{table}", schema.SILVER[table])
 
 
+def refresh_athletes(profiles: DataFrame, root: str) -> None:
+    """Load all athlete profiles anew; they may change at any time."""
+    tables.load_layers(clean_profiles(profiles), root, "Athlete")
+
+
 def enrich_new_activities(spark: SparkSession, root: str, summaries: DataFrame) -> None:
     """Metrics and splits of the activities that silver does not have yet.
 

@@ -224,6 +224,11 @@ def day_runs_with_pace(t: Tables) -> DataFrame:
     return rollups.day_runs(t.activities(), t.athletes(), AS_OF)
 
 
+@query
+def day_pace(t: Tables) -> DataFrame:
+    return rollups.day_pace(t.activities(), t.athletes(), AS_OF)
+
+
 @query
 def squad_4week(t: Tables) -> DataFrame:
     return rollups.squad_weeks(t.activities(), t.athletes(), AS_OF)
@@ -257,6 +262,16 @@ def athlete_details(t: Tables) -> DataFrame:
     return rollups.athlete_details(t.athletes())
 
 
+@query
+def athlete_names(t: Tables) -> DataFrame:
+    return rollups.athlete_names(t.athletes())
+
+
+@query
+def activity_card(t: Tables) -> DataFrame:
+    return rollups.activity_card(t.activities())
+
+
 @query
 def history_monthly(t: Tables) -> DataFrame:
     return rollups.history(t.activities(), "month", AS_OF)
@@ -658,6 +673,22 @@ def read_keys(t: Tables) -> DataFrame:
     return files.read_keys(t.spark, path, "l_orderkey")
 
 
+@query
+def union_keys(t: Tables) -> DataFrame:
+    """Activities that have a stream or a best effort."""
+    return files.union_keys(
+        t.raw_stream().select("activity_id"), t.run_best().select("activity_id")
+    )
+
+
+@query
+def new_activity_count(t: Tables) -> DataFrame:
+    """Activities that are not yet loaded when those with efforts are."""
+    return tables.count_new(
+        t.activities(), t.run_best().select("activity_id").distinct(), "activity_id"
+    )
+
+
 @query
 def union_by_name(t: Tables) -> DataFrame:
     return files.union_by_name(

@@ -86,6 +86,11 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def union_keys(first: DataFrame, second: DataFrame) -> DataFrame:
+    """The keys of either side, each once."""
+    return first.union(second).distinct()
+
+
 def land(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append rows as Parquet or as CSV with a header."""
     if fmt not in ("parquet", "csv"):

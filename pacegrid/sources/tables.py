@@ -80,6 +80,13 @@ def new_rows(batch: DataFrame, existing_keys: DataFrame, key: str) -> DataFrame:
     return chosen.select(*batch.columns).unionByName(batch.where(~keyed))
 
 
+def count_new(batch: DataFrame, existing_keys: DataFrame, key: str) -> DataFrame:
+    """Number of distinct keys of the batch that are not loaded yet."""
+    keys = batch.where(F.col(key).isNotNull()).select(key).distinct()
+    fresh = keys.join(existing_keys, key, "left_anti")
+    return fresh.agg(F.count(F.lit(1)).alias("n_new"))
+
+
 def insert_only(batch: DataFrame, path: str, key: str) -> None:
     """Append rows of unknown keys: the first load of a key wins."""
     key_type = dict(batch.dtypes)[key]
