@@ -37,10 +37,20 @@ RAW_SEGMENT = columns(
     "max_heartrate double, segment string, pr_rank double, achievements string, "
     "visibility string, kom_rank double, hidden boolean"
 )
+# A backlog is worked off in batches of this many files, each committed on its own.
+FILES_PER_BATCH = 100_000
+
+# Names of consolidated exports, which are not raw files.
 OWN_OUTPUTS = ["best_profiles.csv", "segments.csv", "runstream.csv"]
 
 
-def raw_files(spark: SparkSession, folder: str, kind: str, schema: T.StructType) -> DataFrame:
+def raw_files(
+    spark: SparkSession,
+    folder: str,
+    kind: str,
+    schema: T.StructType,
+    files_per_batch: int = FILES_PER_BATCH,
+) -> DataFrame:
     """A stream of the rows of one kind of raw file; sub-folders and other types are skipped."""
     pattern = {"best": "*_best.csv", "segments": "*_segments.csv", "stream": "*.csv"}[kind]
     rows = (
@@ -49,6 +59,7 @@ def raw_files(spark: SparkSession, folder: str, kind: str, schema: T.StructType)
         .option("quote", '"')
         .option("escape", '"')
         .option("pathGlobFilter", pattern)
+        .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
         .select("*", F.col("_metadata.file_name").alias("file_name"))
     )
