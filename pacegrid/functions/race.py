@@ -46,46 +46,48 @@ def _share(minutes: str) -> str:
     return f"({SHARE_FLOOR}D + {' + '.join(decays)})"
 
 
-def _add(df: DataFrame, name: str, expression: str) -> DataFrame:
-    kept = [f"`{c}`" for c in df.columns if c != name]
-    return df.selectExpr(*kept, f"{expression} AS `{name}`")
-
-
 def with_vdot(df: DataFrame, distance: str, sec: str, out: str) -> DataFrame:
     """Add the VDOT of running ``distance`` metres in ``sec`` seconds, NULL unless positive."""
     cost, share = _cost(f"({distance} * 60 / {sec})"), _share(f"{sec} / 60")
-    return _add(df, out, f"CASE WHEN {sec} > 0 THEN {cost} / {share} END")
+    return df.selectExpr("*", f"CASE WHEN {sec} > 0 THEN {cost} / {share} END AS `{out}`")
 
 
 def with_vdot_time(df: DataFrame, level: str, distance: str, out: str) -> DataFrame:
     """Add the seconds in which ``distance`` metres take VDOT ``level``.
 
     Written in speed, cost(v) - vdot * share(d / v) is close to linear, so a few Newton
-    steps settle it to the last digits. Every step is its own projection: generated
-    code evaluates it once per row and no UDF is needed. Speeds are held just outside
-    the searched range, so a root beyond that range shows as an out-of-range time: NULL.
+    steps settle it to the last digits. Each step refers to the one before by its alias in
+    the same select, which Spark plans as projections in generated code; no UDF is needed.
+    Speeds are held just outside the searched range, so a root beyond that range shows as an
+    out-of-range time: NULL.
     """
     c0, c1, c2 = COST
     slowest = f"({distance} / {MAX_MINUTES * 1.25}D)"
     fastest = f"({distance} / {MIN_MINUTES * 0.8}D)"
-    # CASE, not least/greatest: those would turn a NULL guess into a bound.
-    held = (
-        f"CASE WHEN _next < {slowest} THEN {slowest} "
-        f"WHEN _next > {fastest} THEN {fastest} ELSE _next END"
-    )
-    minutes = f"({distance} / _speed)"
-    decays = [
-        f"{size}D * {rate}D * exp(-{rate}D * {minutes})" for size, rate in SHARE_DECAYS
-    ]
-    slope = (
-        f"({c1}D + 2 * {c2}D * _speed - {level} * ({' + '.join(decays)}) * {minutes} / _speed)"
-    )
+
+    def held(guess: str) -> str:
+        # CASE, not least/greatest: those would turn a NULL guess into a bound.
+        return (
+            f"CASE WHEN {guess} < {slowest} THEN {slowest} "
+            f"WHEN {guess} > {fastest} THEN {fastest} ELSE {guess} END"
+        )
+
     room = f"greatest(0D, {c1}D * {c1}D - 4 * {c2}D * ({c0}D - 0.9D * {level}))"
     first = f"CASE WHEN {level} IS NOT NULL THEN (sqrt({room}) - {c1}D) / (2 * {c2}D) END"
-    df = _add(_add(df, "_next", first), "_speed", held)
-    for _ in range(NEWTON_STEPS):
-        step = f"({_cost('_speed')} - {level} * {_share(minutes)}) / {slope}"
-        df = _add(_add(df, "_next", f"_speed - {step}"), "_speed", held)
+    helpers = {"_guess0": first, "_speed0": held("_guess0")}
+    for i in range(NEWTON_STEPS):
+        speed = f"_speed{i}"
+        minutes = f"({distance} / {speed})"
+        decays = [f"{size}D * {rate}D * exp(-{rate}D * {minutes})" for size, rate in SHARE_DECAYS]
+        slope = (
+            f"({c1}D + 2 * {c2}D * {speed} "
+            f"- {level} * ({' + '.join(decays)}) * {minutes} / {speed})"
+        )
+        miss = f"({_cost(speed)} - {level} * {_share(minutes)})"
+        helpers[f"_guess{i + 1}"] = f"{speed} - {miss} / {slope}"
+        helpers[f"_speed{i + 1}"] = held(f"_guess{i + 1}")
+    minutes = f"({distance} / _speed{NEWTON_STEPS})"
     in_range = f"{minutes} BETWEEN {MIN_MINUTES}D AND {MAX_MINUTES}D"
-    df = _add(df, out, f"CASE WHEN {in_range} THEN {minutes} * 60 END")
-    return df.drop("_speed", "_next")
+    steps = [f"{expression} AS {name}" for name, expression in helpers.items()]
+    solved = df.selectExpr("*", *steps, f"CASE WHEN {in_range} THEN {minutes} * 60 END AS `{out}`")
+    return solved.select(*df.columns, out)

@@ -14,6 +14,8 @@ from pacegrid.session import local_session  # noqa: E402
 def spark():
     extra = {
         "spark.sql.shuffle.partitions": "4",
+        # No capture of call sites: it costs several calls into the JVM per column.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         # Many short plans: quick compilation matters more than peak speed.
         "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
     }

@@ -18,13 +18,10 @@ FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
 
 TOGETHER = [
-    "activity_metrics", "channel_series", "clean_segments", "day_grid", "dedupe_stream",
-    "dim_date", "explode_streams", "extract_nested_id", "first_gps_point", "forecast_pivot",
-    "history_weekly", "insert_only_load", "km_splits", "normalise_activities", "pb_trend",
-    "personal_bests", "quality_suite", "race_backtest_blended", "race_backtest_leak_free",
-    "readiness_summary", "recent_20", "repair_text", "replace_groups_load", "runner_stats",
-    "sensitivity_grid", "stream_ingest", "tied_names_text", "upsert_load", "week_gps_points",
-    "wow_change",
+    "activity_metrics", "clean_segments", "day_grid", "dim_date", "explode_streams",
+    "extract_nested_id", "first_gps_point", "km_splits", "normalise_activities", "pb_trend",
+    "quality_suite", "race_backtest_blended", "recent_20", "repair_text", "runner_stats",
+    "sensitivity_grid", "stream_ingest", "tied_names_text", "upsert_load", "wow_change",
 ]
 CHECKED = sorted(QUERIES) if os.environ.get("ORACLE_ALL") else TOGETHER
 
