@@ -38,3 +38,10 @@ def ascii_lower(text: Column) -> Column:
 def only_columns(df: DataFrame, *names: str) -> DataFrame:
     """The named columns alone, so that further columns cannot clash with working ones."""
     return df.select(*(df[n] for n in names))
+
+
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

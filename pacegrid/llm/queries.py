@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacegrid.llm import license_scan, quality_rules, url_filter
-from pacegrid.llm.common import table
+from pacegrid.llm import bpe, license_scan, merkle, quality_rules, token_files, url_filter
+from pacegrid.llm.common import table, vocabulary
+from pacegrid.session import work_folder
 
 #: Hosts whose pages make up the list of URLs to block.
 LISTED_HOSTS = "casino|bets|pills"
@@ -31,8 +32,34 @@ def op4_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.report(license_scan.license_scan(documents))
 
 
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = work_folder(spark, "tokens")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    manifest = token_files.write_token_files(documents, files, vocabulary("byte_bpe_50k.json"))
+    found = token_files.read_token_files(manifest, files)
+    return found.select("doc_id", "start", "n_tokens", token_files.crc32_of("ids").alias("ids_crc32"))
+
+
+def op8_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.compare_with_next(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.digests(bpe.decode(bpe.encode(documents, ranks), ranks))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op3_url_filters, op4_license_scans)
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op3_url_filters,
+        op4_license_scans,
+        op7_token_files,
+        op8_document_fingerprints,
+        op10_byte_bpe,
+    )
 }
 
 #: Op 3 in SQL: the list is joined on canonical URLs, without a filter before it.
