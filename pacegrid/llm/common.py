@@ -22,7 +22,7 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     Cuts the lineage: a lost executor costs no more than a read.
     """
     path = work_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

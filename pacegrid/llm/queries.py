@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacegrid.llm import bpe, license_scan, merkle, quality_rules, token_files, url_filter
+from pacegrid.llm import bpe, license_scan, line_chunks, merkle, quality_rules, token_files, toxicity, url_filter
 from pacegrid.llm.common import table, vocabulary
 from pacegrid.session import work_folder
 
@@ -32,6 +32,11 @@ def op4_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.report(license_scan.license_scan(documents))
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.judge(documents, table(spark, folder, "labels").select("doc_id", "toxic"))
+
+
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = work_folder(spark, "tokens")
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -44,6 +49,11 @@ def op8_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.compare_with_next(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return line_chunks.dedup_lines(documents)
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -56,8 +66,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_quality_rules,
         op3_url_filters,
         op4_license_scans,
+        op6_toxicity,
         op7_token_files,
         op8_document_fingerprints,
+        op9_line_dedup,
         op10_byte_bpe,
     )
 }
