@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacegrid.llm import bpe, license_scan, line_chunks, merkle, quality_rules, token_files, toxicity, url_filter
+from pacegrid.llm import bpe, jaccard, license_scan, line_chunks, merkle, quality_rules, token_files, toxicity, url_filter
 from pacegrid.llm.common import table, vocabulary
 from pacegrid.session import work_folder
 
@@ -32,6 +32,11 @@ def op4_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.report(license_scan.license_scan(documents))
 
 
+def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard.jaccard_join(documents).select("doc_id", "class_id", "n_links", "copy_id")
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return toxicity.judge(documents, table(spark, folder, "labels").select("doc_id", "toxic"))
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_quality_rules,
         op3_url_filters,
         op4_license_scans,
+        op5_ngram_jaccard,
         op6_toxicity,
         op7_token_files,
         op8_document_fingerprints,
