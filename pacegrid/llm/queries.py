@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacegrid.llm import bpe, jaccard, license_scan, line_chunks, merkle, quality_rules, token_files, toxicity, url_filter
+from pacegrid.llm import bpe, jaccard, license_scan, line_chunks, merkle, mixing, quality_rules, token_files, toxicity, url_filter
 from pacegrid.llm.common import table, vocabulary
 from pacegrid.session import work_folder
 
@@ -21,6 +21,14 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.BASE, "base_failed", "kept", "rule")
 
 
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    mix = mixing.fit(documents, table(spark, folder, "labels"))
+    domains = [F.get("posterior", F.lit(d)).alias(f"p_{n}") for d, n in enumerate(mix.classifier.domains)]
+    taken = mixing.copies(F.col("rate"), F.col("doc_id"), F.col("text"))
+    return mix.apply(documents).select("doc_id", "n_tokens", *domains, "rate", taken.alias("copies"))
+
+
 def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     listed = pages.where(url_filter.host_of(F.col("url")).rlike(LISTED_HOSTS)).select("url")
@@ -69,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_mixing,
         op3_url_filters,
         op4_license_scans,
         op5_ngram_jaccard,
