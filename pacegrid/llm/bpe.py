@@ -38,7 +38,7 @@ S_LETTER, S_NUMBER, S_OTHER, S_QUOTE1, S_QUOTE2, S_JOINED, S_LAST, S_WHITE, S_EN
 NEW, IN_LETTERS, IN_NUMBERS, IN_OTHERS, AFTER_BLANK, IN_WHITE, TAKE1, TAKE2 = range(8)
 STATES = 8
 BLOCK = 128
-CACHED_PIECES = 1_000_000
+CACHED_PIECES = 300_000
 #: Pre-tokens of more bytes are merged through a heap.
 SHORT_PIECE = 200
 
@@ -287,6 +287,22 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     return map_arrow(encoded.select(key, "ids"), run, f"`{key}` {kind}, ids binary, decoded binary")
 
 
+def round_trip(documents: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key``, ``ids`` and the bytes ``decoded`` from them, in one pass over the texts."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = encoder(path)
+        for batch in slices(batches, "_text", 1_000_000):
+            ids = [b"".join(bpe.ids(found)) for found, _ in pieces(texts(batch, "_text"))]
+            out = [decode_ids(x, path) for x in ids]
+            columns = [batch.column(0), pa.array(ids, pa.binary()), pa.array(out, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, [key, "ids", "decoded"])
+
+    kind = documents.schema[key].dataType.simpleString()
+    rows = documents.select(documents[key], documents[text].alias("_text"))
+    return map_arrow(rows, run, f"`{key}` {kind}, ids binary, decoded binary")
+
+
 def digests(decoded: DataFrame, key: str = "doc_id") -> DataFrame:
     return decoded.select(
         key,

@@ -90,6 +90,7 @@ def test_encode_and_decode(spark):
         assert np.frombuffer(row["ids"], "<u4").tolist() == expected.encode_ordinary(text)
         assert sum(np.frombuffer(row["piece_tokens"], "<u4")) * 4 == len(row["ids"])
     found = bpe.digests(bpe.decode(bpe.encode(df, RANKS), RANKS)).collect()
+    assert sorted(map(str, bpe.digests(bpe.round_trip(df, RANKS)).collect())) == sorted(map(str, found))
     for row in found:
         text = batch[5 if row["doc_id"] is None else row["doc_id"]] or ""
         assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
