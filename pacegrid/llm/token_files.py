@@ -43,9 +43,9 @@ MAGIC = b"PGTOKEN1"
 HEADER = struct.Struct("<8sIIQQQ")  # magic, id bytes, buckets, keys, rows, rows without a key
 KEYS_PER_BUCKET = 4
 CACHED_CHUNKS = 600_000
-#: A blank between other white space, or one at the end behind white space: the tokens there
-#: do not begin with the blank.
-BLANK_IN_WHITE = re.compile(r"\s (?:\s|\Z)")
+#: White space other than a single blank or line feed between words, where tokens may begin
+#: elsewhere than at the blank or the line feed.
+MORE_WHITE = re.compile(r"\s (?:\s|\Z)|\s\n|\n\s")
 
 
 def mixed(keys: np.ndarray, seed: int | np.ndarray) -> np.ndarray:
@@ -103,10 +103,11 @@ def perfect_hash(keys: np.ndarray) -> np.ndarray:
 
 
 class ChunkEncoder:
-    """Ids by the tokenizers library, kept for the chunks between single blanks.
+    """Ids by the tokenizers library, kept for the chunks between blanks and line feeds.
 
-    The pre-tokeniser begins a token at every blank that stands before or after something
-    else than white space, so such chunks are encoded apart; other texts go through whole.
+    The pre-tokeniser begins a token at every blank or line feed that stands between other
+    characters than white space. So texts are cut there; a chunk keeps its line feed, a
+    missing one stands for a blank. Texts with more white space go through whole.
     """
 
     def __init__(self, path: str):
@@ -123,11 +124,12 @@ class ChunkEncoder:
         new = list(chunks.difference(known))
         for start in range(0, len(new), 10_000):
             part = new[start : start + 10_000]
-            encoded = self.tokenizer.encode_batch([blank + c for c in part], add_special_tokens=False)
+            whole = [c if c[:1] == "\n" else blank + c for c in part]
+            encoded = self.tokenizer.encode_batch(whole, add_special_tokens=False)
             known.update((c, np.array(e.ids, self.kind).tobytes()) for c, e in zip(part, encoded))
 
     def encode(self, batch: list[str]) -> list[bytes]:
-        parts = [None if BLANK_IN_WHITE.search(t) else t.split(" ") for t in batch]
+        parts = [None if MORE_WHITE.search(t) else t.replace("\n", " \n").split(" ") for t in batch]
         self.learn(self.first, {p[0] for p in parts if p}, "")
         later: set[str] = set()
         for p in parts:
