@@ -12,6 +12,8 @@ from pacegrid.llm import bpe, jaccard, line_chunks, mixing, quality_rules
 from pacegrid.llm.common import table, vocabulary, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Every document is taken at least once, and none more than four times.
+EPOCHS = (1.0, 4.0)
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -34,14 +36,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, each at least once."""
-    return mixing.mixed(docs.select(*COLUMNS), table(spark, sf_dir, "labels"), floor=1.0)
+    """Documents as often as the mix takes them, one to four times."""
+    return mixing.mixed(docs.select(*COLUMNS), table(spark, sf_dir, "labels"), bounds=EPOCHS)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, checked by decoding them."""
     ranks = vocabulary(RANKS)
-    return bpe.digests(bpe.decode(bpe.encode(docs, ranks), ranks))
+    return bpe.digests(bpe.round_trip(docs, ranks))
 
 
 STAGES = [

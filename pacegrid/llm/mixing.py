@@ -39,6 +39,8 @@ STEPS = 40
 #: Steps end when every domain is this near to its target, as a share of all tokens.
 CLOSE = 1e-4
 SEED = 41
+#: Least and greatest rate.
+FREE = (0.0, float("inf"))
 
 
 def features(text: Column) -> Column:
@@ -122,10 +124,12 @@ def _log(x: float) -> float:
 
 
 def rate_of(
-    posterior: Column, history: list[list[float]], start: float, pull: float, step: float, floor: float = 0.0
+    posterior: Column, history: list[list[float]], start: float, pull: float, step: float,
+    bounds: tuple[float, float] = FREE
 ) -> Column:
-    """The rate after all steps so far, each projected onto rates from ``floor`` up."""
-    rate = F.lit(max(start, floor))
+    """The rate after all steps so far, each projected onto the rates between ``bounds``."""
+    floor, ceiling = bounds
+    rate = F.lit(min(max(start, floor), ceiling))
     if not history:
         return rate
     domains = len(history[0])
@@ -135,7 +139,7 @@ def rate_of(
         slope = pull * (r - start)
         for d in range(domains):
             slope = slope + F.get(posterior, F.lit(d)) * F.get(flat, k * domains + d)
-        return F.greatest(F.lit(floor), r - step * slope)
+        return F.least(F.lit(ceiling), F.greatest(F.lit(floor), r - step * slope))
 
     return F.aggregate(F.sequence(F.lit(0), F.lit(len(history) - 1)), rate, next_rate)
 
@@ -149,13 +153,16 @@ class Mix:
     start: float
     step: float
     targets: list[float]
-    floor: float = 0.0
+    bounds: tuple[float, float] = FREE
+
+    def rate(self, posterior: Column) -> Column:
+        return rate_of(posterior, self.history, self.start, PULL, self.step, self.bounds)
 
     def apply(self, documents: DataFrame, text: str = "text") -> DataFrame:
         """``documents`` with ``n_tokens``, ``posterior`` and ``rate``."""
         found = documents.withColumn("_features", features(F.col(text)))
         found = found.withColumn("_posterior", self.classifier.posterior(F.col("_features")))
-        rate = rate_of(F.col("_posterior"), self.history, self.start, PULL, self.step, self.floor)
+        rate = self.rate(F.col("_posterior"))
         return found.select(
             *(found[c] for c in documents.columns if c not in {"n_tokens", "posterior", "rate"}),
             F.col("_features.n").alias("n_tokens"),
@@ -165,20 +172,36 @@ class Mix:
 
 
 def fit(
-    documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0
+    documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, bounds: tuple[float, float] = FREE
 ) -> Mix:
-    """Classifier and rates; targets are shares of tokens by domain. With a ``floor`` of 1 no
-    document is left out, and totals come as near to the targets as that allows."""
-    targets = targets or TARGETS
+    """Classifier and rates; targets are shares of tokens by domain. ``bounds`` are
+    the least and the greatest rate: from 1 on no document is left out, and with an upper one
+    none is repeated more often, also where a domain has hardly any tokens. Totals come as
+    near to the targets as the bounds allow."""
+    model = learn(documents, labels)
+    data = written(Mix(model, [], 1.0, 0.0, []).apply(documents.select("text")).drop("text", "rate"), "mixing")
+    return solve(data, model, targets, bounds)
+
+
+def rated(
+    documents: DataFrame, labels: DataFrame, keep: list[str], targets: dict[str, float] | None = None
+) -> tuple[DataFrame, Mix]:
+    """The ``keep`` columns with ``n_tokens``, ``posterior`` and ``rate``; texts are read once."""
     model = learn(documents, labels)
+    data = written(Mix(model, [], 1.0, 0.0, []).apply(documents).select(*keep, "n_tokens", "posterior"), "mixing")
+    mix = solve(data, model, targets)
+    return data.withColumn("rate", mix.rate(F.col("posterior"))), mix
+
+
+def solve(
+    scored: DataFrame, model: Classifier, targets: dict[str, float] | None = None, bounds: tuple[float, float] = FREE
+) -> Mix:
+    """Rates from ``n_tokens`` and ``posterior`` of all documents, a written table."""
+    targets = targets or TARGETS
     domains = range(len(model.domains))
-    blank = Mix(model, [], 1.0, 0.0, [], floor)
-    scored = blank.apply(documents.select("text"))
-    data = written(
-        scored.select(
-            F.col("n_tokens").cast("double").alias("t"), *(F.get("posterior", F.lit(d)).alias(f"p{d}") for d in domains)
-        ),
-        "mixing",
+    blank = Mix(model, [], 1.0, 0.0, [], bounds)
+    data = scored.select(
+        F.col("n_tokens").cast("double").alias("t"), *(F.get("posterior", F.lit(d)).alias(f"p{d}") for d in domains)
     )
     pairs = [(a, b) for a in domains for b in domains if a <= b]
     found = data.agg(
@@ -202,14 +225,14 @@ def fit(
     step = 1 / (bound + PULL)
     history: list[list[float]] = []
     for _ in range(STEPS):
-        rate = rate_of(F.array(*(F.col(f"p{d}") for d in domains)), history, start, PULL, step, floor)
+        rate = rate_of(F.array(*(F.col(f"p{d}") for d in domains)), history, start, PULL, step, bounds)
         rated = data.withColumn("_rt", rate * F.col("t"))
         now = rated.agg(*(F.sum(F.col("_rt") * F.col(f"p{d}")) for d in domains)).first()
         off = [now[d] / total - goal[d] for d in domains]
         if max(map(abs, off)) < CLOSE * start:
             break
         history.append([scale[d] * off[d] for d in domains])
-    return Mix(model, history, start, step, [g * total for g in goal], floor)
+    return Mix(model, history, start, step, [g * total for g in goal], bounds)
 
 
 def copies(rate: Column, *key: Column) -> Column:
@@ -219,10 +242,10 @@ def copies(rate: Column, *key: Column) -> Column:
 
 
 def mixed(
-    documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, floor: float = 0.0
+    documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, bounds: tuple[float, float] = FREE
 ) -> DataFrame:
     """Every document as often as its rate says, with the columns of ``documents``."""
-    rated = fit(documents, labels, targets, floor).apply(documents)
-    times = copies(F.col("rate"), F.col("doc_id"), F.col("text"))
+    rated = fit(documents, labels, targets, bounds).apply(documents)
+    times = copies(F.col("rate"), F.col("doc_id"), F.xxhash64("text"))
     repeated = rated.withColumn("_again", F.explode(F.array_repeat(F.lit(0), times)))
     return repeated.select(*documents.columns)

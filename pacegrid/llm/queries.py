@@ -23,10 +23,11 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    mix = mixing.fit(documents, table(spark, folder, "labels"))
+    keyed = documents.withColumn("_text", F.xxhash64("text"))
+    found, mix = mixing.rated(keyed, table(spark, folder, "labels"), ["doc_id", "_text"])
     domains = [F.get("posterior", F.lit(d)).alias(f"p_{n}") for d, n in enumerate(mix.classifier.domains)]
-    taken = mixing.copies(F.col("rate"), F.col("doc_id"), F.col("text"))
-    return mix.apply(documents).select("doc_id", "n_tokens", *domains, "rate", taken.alias("copies"))
+    taken = mixing.copies(F.col("rate"), F.col("doc_id"), F.col("_text"))
+    return found.select("doc_id", "n_tokens", *domains, "rate", taken.alias("copies"))
 
 
 def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,7 +71,7 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    return bpe.digests(bpe.decode(bpe.encode(documents, ranks), ranks))
+    return bpe.digests(bpe.round_trip(documents, ranks))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
