@@ -45,9 +45,12 @@ def local_session(
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
-    A temporary local folder is used only where the session names none, as in tests.
+    A temporary local folder is used only by a local master whose session names none, as in
+    tests; on a cluster, executors could not see one another's files there.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         shared = tempfile.mkdtemp(prefix="run-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -101,8 +101,8 @@ def explode_streams(raw: DataFrame) -> DataFrame:
         F.get("latlng", F.lit(1)).alias("lon"),
         "dist_m",
         "alt_m",
-        F.col("hr_bpm").cast("smallint").alias("hr_bpm"),
-        F.col("cadence").cast("smallint").alias("cadence"),
+        F.col("hr_bpm").try_cast("smallint").alias("hr_bpm"),
+        F.col("cadence").try_cast("smallint").alias("cadence"),
         "watts",
     )
 
