@@ -52,13 +52,30 @@ def repair_latin1(text: Column) -> Column:
     return F.when(fits_latin1, F.coalesce(as_utf8, text)).otherwise(text)
 
 
+# Quoted texts, brackets and separators, bare words; anything else by itself.
+_LITERAL_TOKEN = r"""(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[{}\[\],:]|[^\s{}\[\],:'"]+|\S"""
+
+
 def nested_id(literal: Column) -> Column:
-    """The top-level ``id`` of a dict written as text, NULL if there is none to read."""
-    body = F.regexp_extract(literal, r"(?s)^\s*\{(.*)\}\s*$", 1)
-    for _ in range(4):  # dicts inside dicts, innermost first
-        body = F.regexp_replace(body, r"\{[^{}]*\}", "0")
-    found = F.regexp_extract(body, r"(?:^|,)\s*['\"]id['\"]\s*:\s*(\d+)\s*(?:,|$)", 1)
-    return F.nullif(found, F.lit("")).try_cast("bigint")
+    """The top-level ``id`` of a dict written as text, at any depth of nesting inside; NULL
+    if there is none or if the text is not a whole dict."""
+
+    def as_json(token: Column) -> Column:
+        quoted = token.rlike(r"""(?s)^(?:'.*'|".*")$""") & (F.length(token) > 1)
+        inner = F.regexp_replace(F.substring(token, F.lit(2), F.length(token) - 2), r"(?s)\\(.)", "$1")
+        escaped = F.regexp_replace(inner, r"""(["\\])""", r"\\$1")
+        return (
+            F.when(quoted, F.concat(F.lit('"'), escaped, F.lit('"')))
+            .when(token == "None", "null")
+            .when(token.isin("True", "False"), F.lower(token))
+            .otherwise(token)
+        )
+
+    tokens = F.regexp_extract_all(literal, F.lit(_LITERAL_TOKEN), 0)
+    # As a list of one, so that text behind the dict makes it malformed.
+    text = F.concat(F.lit("["), F.array_join(F.transform(tokens, as_json), " "), F.lit("]"))
+    found = F.from_json(text, "array<struct<id: bigint>>", {"allowUnquotedControlChars": "true"})
+    return F.when(literal.rlike(r"^\s*\{") & (F.size(found) == 1), F.get(found, 0)["id"])
 
 
 def utc_timestamp(text: Column) -> Column:

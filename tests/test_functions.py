@@ -81,6 +81,12 @@ def test_nested_id(spark):
         "{'id': 12": None,
         "not a dict": None,
         "{}": None,
+        "{'a': {'b': {'c': {'d': {'e': {'id': 7}}}}}, 'id': 1}": 1,
+        "{'name': \"x, 'id': 9, y\", 'id': 5}": 5,
+        "{'name': 'it\\'s \\\\', 'id': 6}": 6,
+        "{'id': 5, oops}": None,
+        "{'id': 5} {'id': 6}": None,
+        "{'id': -3}": -3,
     }
     got = strings(spark, [*cases, None]).select(text.nested_id(F.col("s")).alias("x")).collect()
     assert [r.x for r in got] == [*cases.values(), None]
