@@ -13,7 +13,6 @@ from pacegrid.functions.text import format_time
 from pacegrid.operators.rollups import TOTALS, add_names, totals
 
 # Longest run of tied names written into one text cell; beyond it read the tied rows.
-TIED_NAMES_IN_TEXT = 1000
 
 
 def latest_activity(activities: DataFrame, athletes: DataFrame) -> DataFrame:
@@ -132,22 +131,11 @@ def top_bottom_ties(per_athlete: DataFrame, athletes: DataFrame) -> DataFrame:
     return add_names(tied, athletes)
 
 
-def tied_names_text(ties: DataFrame) -> DataFrame:
-    """The tied names as one text per metric and side, as long as they are few enough.
-
-    ``n_tied`` is always exact; ``names`` is NULL beyond ``TIED_NAMES_IN_TEXT``, where the
-    rows of ``top_bottom_ties`` give all of them.
-    """
-    counts = ties.groupBy("metric", "side").agg(
-        F.count(F.lit(1)).alias("n_tied"), F.max("val").alias("val")
-    )
-    few = counts.where(F.col("n_tied") <= TIED_NAMES_IN_TEXT).select("metric", "side")
-    texts = (
-        ties.join(F.broadcast(few), ["metric", "side"], "left_semi")  # at most six rows
-        .groupBy("metric", "side")
-        .agg(F.expr("listagg(name, '') within group (order by name)").alias("names"))
-    )
-    return counts.join(texts, ["metric", "side"], "left")
+def tied_rows(ties: DataFrame) -> DataFrame:
+    """All tied names in order, each with how many share its side; nothing is gathered."""
+    counts = ties.groupBy("metric", "side").agg(F.count(F.lit(1)).alias("n_tied"))
+    sized = ties.join(F.broadcast(counts), ["metric", "side"])  # at most six rows
+    return sized.orderBy("metric", "side", "name", "athlete_id")
 
 
 def personal_bests(

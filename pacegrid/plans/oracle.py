@@ -485,11 +485,10 @@ ORACLE: dict[str, str] = {
         "activities weekly this_week this_week_long athletes ties",
         "SELECT * REPLACE (round(val, 4) AS val) FROM ties",
     ),
-    "tied_names_text": sql(
+    "tied_rows": sql(
         "activities weekly this_week this_week_long athletes ties",
-        """SELECT metric, side, count(*) AS n_tied, round(max(val), 4) AS val,
-          CASE WHEN count(*) <= 1000 THEN string_agg(name, '' ORDER BY name) END AS names
-        FROM ties GROUP BY metric, side""",
+        """SELECT * REPLACE (round(val, 4) AS val), count(*) OVER (PARTITION BY metric, side) AS n_tied
+        FROM ties""",
     ),
     "day_runs_with_pace": sql(
         "activities athletes",

@@ -214,9 +214,9 @@ def top_runner_ties(t: Tables) -> DataFrame:
 
 
 @query
-def tied_names_text(t: Tables) -> DataFrame:
+def tied_rows(t: Tables) -> DataFrame:
     per_athlete = rankings.week_per_athlete(t.activities(), AS_OF)
-    return rankings.tied_names_text(rankings.top_bottom_ties(per_athlete, t.athletes()))
+    return rankings.tied_rows(rankings.top_bottom_ties(per_athlete, t.athletes()))
 
 
 @query

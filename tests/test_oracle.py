@@ -22,7 +22,7 @@ TOGETHER = [
     "activity_metrics", "clean_segments", "day_grid", "dim_date", "explode_streams",
     "extract_nested_id", "first_gps_point", "km_splits", "normalise_activities", "pb_trend",
     "quality_suite", "race_backtest_blended", "recent_20", "repair_text", "runner_stats",
-    "sensitivity_grid", "stream_ingest", "tied_names_text", "upsert_load", "wow_change",
+    "sensitivity_grid", "stream_ingest", "tied_rows", "upsert_load", "wow_change",
 ]
 CHECKED = sorted(QUERIES) if os.environ.get("ORACLE_ALL") else TOGETHER
 

@@ -127,9 +127,9 @@ def test_top_bottom_and_ties(spark, athletes):
     assert (best["total_km"].top_name, best["total_km"].bottom_name) == ("Ann Lee", "Ann Lee")
     assert (best["total_sec"].top_name, best["total_sec"].bottom_name) == ("3", "Ann Lee")
     ties = rankings.top_bottom_ties(per_athlete, athletes)
-    texts = {(r.metric, r.side): r for r in rankings.tied_names_text(ties).collect()}
-    assert texts[("total_km", "top")].names == "Ann LeeBo"
-    assert texts[("n_runs", "bottom")].n_tied == 3
+    rows = [(r.metric, r.side, r.name, r.n_tied) for r in rankings.tied_rows(ties).collect()]
+    assert [x[2] for x in rows if x[:2] == ("total_km", "top")] == ["Ann Lee", "Bo"]
+    assert {x[3] for x in rows if x[:2] == ("n_runs", "bottom")} == {3}
     still = rankings.top_bottom(
         rankings.week_per_athlete(acts.where("activity_id = 3"), AS_OF), athletes
     )
@@ -137,12 +137,12 @@ def test_top_bottom_and_ties(spark, athletes):
     assert only["total_km"] == ("3", "3", 0.0)
 
 
-def test_many_ties_keep_exact_rows(spark, monkeypatch, athletes):
-    monkeypatch.setattr(rankings, "TIED_NAMES_IN_TEXT", 2)
-    acts = activities(spark, [(i, i, day(0), 10.0, 100) for i in (1, 2, 3)])
+def test_many_ties_keep_all_rows(spark, athletes):
+    acts = activities(spark, [(i, i, day(0), 10.0, 100) for i in range(1, 1502)])
     ties = rankings.top_bottom_ties(rankings.week_per_athlete(acts, AS_OF), athletes)
-    assert ties.count() == 18
-    assert {(r.n_tied, r.names) for r in rankings.tied_names_text(ties).collect()} == {(3, None)}
+    got = rankings.tied_rows(ties)
+    assert got.count() == 6 * 1501
+    assert {r.n_tied for r in got.select("n_tied").distinct().collect()} == {1501}
 
 
 def test_recent_and_latest(spark, athletes):
