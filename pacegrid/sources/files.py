@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -45,15 +46,55 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*columns)
 
 
+# A separator that no raw file holds: a line is read as one value, with its encoding.
+_NO_SEPARATOR = "\u0001"
+
+
+def raw_lines(reader, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """``line, path, start, file_name`` of every line; ``reader`` is ``spark.read`` or
+    ``spark.readStream`` with its options."""
+    lines = reader.schema("line string").option("sep", _NO_SEPARATOR).option("quote", "")
+    return lines.option("encoding", encoding).csv(path).select(
+        "line",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.col("_metadata.file_name").alias("file_name"),
+    )
+
+
+def parse_by_header(lines: DataFrame, keep: list[str], escape: str = "\\") -> DataFrame:
+    """Lines of files with different headers as columns of text, matched by name.
+
+    Every file's first line is its header; a later line equal to it is left out too. Files of
+    one layout need no join. Otherwise each line meets its file's header, and adaptive
+    execution splits a file that holds many lines. The driver sees distinct headers only,
+    which are as many as there are layouts.
+    """
+    spark = lines.sparkSession
+    first = lines.where("start = 0").select("path", "line", F.monotonically_increasing_id().alias("at"))
+    headers = first.groupBy("path").agg(F.min_by("line", "at").alias("header"))
+    known = [r.header for r in headers.select("header").distinct().collect()]
+    if not known:
+        return spark.createDataFrame([], lines.select(*keep).schema)
+    one = len(known) == 1
+    placed = lines.withColumn("header", F.lit(known[0])) if one else lines.join(headers, "path")
+    frames = []
+    for header in sorted(known):
+        names = next(csv.reader([header.lstrip("\ufeff")]))
+        at = {n: i for i, n in reversed(list(enumerate(names))) if n not in keep}
+        shape = ", ".join(f"c{i} string" for i in range(len(names)))
+        rows = placed.where((F.col("header") == header) & (F.col("line") != header))
+        parsed = rows.withColumn("_row", F.from_csv("line", shape, {"quote": '"', "escape": escape}))
+        frames.append(parsed.select(*keep, *(F.col(f"_row.c{i}").alias(n) for n, i in at.items())))
+    return union_by_name(frames)
+
+
 def read_csv_table(
     spark: SparkSession, path: str, schema: T.StructType, encoding: str = "UTF-8"
 ) -> DataFrame:
-    """Full scan of a CSV with a header, columns matched by name to the declared schema."""
-    raw = spark.read.csv(path, header=True, encoding=encoding)
-    first = raw.columns[0]
-    if first.startswith("﻿"):
-        raw = raw.withColumnRenamed(first, first.lstrip("﻿"))
-    return conform(raw, schema)
+    """Full scan of CSV files with headers, columns matched by name to the declared schema
+    file by file."""
+    return conform(parse_by_header(raw_lines(spark.read, path, encoding), []), schema)
 
 
 def read_parquet_if_any(spark: SparkSession, path: str) -> DataFrame | None:

@@ -16,10 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pacegrid.schema import columns
 from pacegrid.sources.clean import clean_best, clean_segments
-from pacegrid.sources.files import activity_id_of_file, file_kind
+from pacegrid.sources.files import activity_id_of_file, conform, file_kind, parse_by_header, raw_lines
 from pacegrid.sources.tables import insert_only, load_layers
 
-# Whole numbers are read as doubles because columns with gaps are written as ``72.0``.
 RAW_STREAM = columns(
     "time_s double, lat double, lon double, dist_m double, alt_m double, hr_bpm double, "
     "cadence double, watts double"
@@ -37,34 +36,26 @@ RAW_SEGMENT = columns(
     "max_heartrate double, segment string, pr_rank double, achievements string, "
     "visibility string, kom_rank double, hidden boolean"
 )
-# A backlog is worked off in batches of this many files, each committed on its own.
-FILES_PER_BATCH = 100_000
-
 # Names of consolidated exports, which are not raw files.
 OWN_OUTPUTS = ["best_profiles.csv", "segments.csv", "runstream.csv"]
 
 
-def raw_files(
-    spark: SparkSession,
-    folder: str,
-    kind: str,
-    schema: T.StructType,
-    files_per_batch: int = FILES_PER_BATCH,
-) -> DataFrame:
-    """A stream of the rows of one kind of raw file; sub-folders and other types are skipped."""
+def raw_files(spark: SparkSession, folder: str, kind: str) -> DataFrame:
+    """A stream of the lines of one kind of raw file; sub-folders and other types are skipped.
+
+    A run takes all new files as one batch: a load compares with what earlier runs have
+    loaded, so files of one activity that arrive together stay together.
+    """
     pattern = {"best": "*_best.csv", "segments": "*_segments.csv", "stream": "*.csv"}[kind]
-    rows = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(folder)
-        .select("*", F.col("_metadata.file_name").alias("file_name"))
-    )
+    lines = raw_lines(spark.readStream.option("pathGlobFilter", pattern), folder)
     name = F.col("file_name")
-    return rows.where((file_kind(name) == kind) & ~name.isin(OWN_OUTPUTS))
+    return lines.where((file_kind(name) == kind) & ~name.isin(OWN_OUTPUTS))
+
+
+def raw_rows(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared columns and ``file_name``; each file is read under its own header."""
+    rows = parse_by_header(lines, ["file_name"], escape='"')
+    return conform(rows, T.StructType([*schema.fields, T.StructField("file_name", T.StringType())]))
 
 
 def stream_points(rows: DataFrame) -> DataFrame:
@@ -96,10 +87,10 @@ def ingest_folder(spark: SparkSession, folder: str, root: str) -> None:
     }
     for kind, (schema, table, tidy) in jobs.items():
 
-        def write(batch: DataFrame, table=table, tidy=tidy) -> None:
-            load_layers(tidy(batch), root, table)
+        def write(batch: DataFrame, schema=schema, table=table, tidy=tidy) -> None:
+            load_layers(tidy(raw_rows(batch, schema)), root, table)
 
-        rows = raw_files(spark, folder, kind, schema)
+        rows = raw_files(spark, folder, kind)
         query = ingest_stream(rows, write, f"{root}/checkpoints/{kind}")
         query.awaitTermination()
 
@@ -107,6 +98,8 @@ def ingest_folder(spark: SparkSession, folder: str, root: str) -> None:
 def ingest_table(
     spark: SparkSession, folder: str, schema: T.StructType, path: str, key: str, checkpoint: str
 ) -> StreamingQuery:
-    """Insert-only ingest of CSV files with one schema into one table."""
-    rows = spark.readStream.schema(schema).option("header", True).csv(folder)
+    """Insert-only ingest of CSV files with one schema into one table; a file with another
+    header is an error."""
+    reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
+    rows = reader.csv(folder)
     return ingest_stream(rows, lambda batch: insert_only(batch, path, key), checkpoint)

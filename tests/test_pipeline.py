@@ -149,3 +149,13 @@ def test_quality_checks(spark):
     }
     empty = quality.TableChecks("t", df.where("id > 9"), ["id"], ["id"], unique=True)
     assert [r.n_failures for r in empty.failures().collect()] == [0, 0]
+
+
+def test_columns_by_name_and_files_of_one_activity_together(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "lake")
+    raw.mkdir()
+    (raw / "a_run_1.csv").write_text("time_s,lat,hr_bpm\n1,10.5,120\n")
+    (raw / "b_run_1.csv").write_text("hr_bpm,time_s\n99.0,2\n")
+    ingest.ingest_folder(spark, str(raw), root)
+    got = pipeline.silver(spark, root, "RunStream").orderBy("time_s").collect()
+    assert [(r.time_s, r.lat, r.hr_bpm) for r in got] == [(1, 10.5, 120), (2, None, 99)]

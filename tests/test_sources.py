@@ -237,3 +237,11 @@ def test_refresh_and_read_table(spark, tmp_path):
     for _ in range(2):
         tables.refresh_table(tables.seed_labels(spark), path)
     assert tables.read_table(spark, path, schema.DISTANCE_LABEL).count() == 13
+
+
+def test_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("time_s,hr_bpm,lat\n1,100.0,5\n2,,6\n")
+    (tmp_path / "two.csv").write_text("lat,other,time_s\n7,x,3\n")
+    (tmp_path / "empty.csv").write_text("")
+    got = files.read_csv_table(spark, str(tmp_path), schema.RUN_STREAM).orderBy("time_s").collect()
+    assert [(r.time_s, r.hr_bpm, r.lat) for r in got] == [(1, 100, 5.0), (2, None, 6.0), (3, None, 7.0)]
