@@ -184,12 +184,13 @@ def fit(
 
 
 def rated(
-    documents: DataFrame, labels: DataFrame, keep: list[str], targets: dict[str, float] | None = None
+    documents: DataFrame, labels: DataFrame, keep: list[str], targets: dict[str, float] | None = None,
+    bounds: tuple[float, float] = FREE
 ) -> tuple[DataFrame, Mix]:
-    """The ``keep`` columns with ``n_tokens``, ``posterior`` and ``rate``; texts are read once."""
+    """The ``keep`` columns with ``n_tokens``, ``posterior`` and ``rate``; texts are scored once."""
     model = learn(documents, labels)
     data = written(Mix(model, [], 1.0, 0.0, []).apply(documents).select(*keep, "n_tokens", "posterior"), "mixing")
-    mix = solve(data, model, targets)
+    mix = solve(data, model, targets, bounds)
     return data.withColumn("rate", mix.rate(F.col("posterior"))), mix
 
 
@@ -245,7 +246,9 @@ def mixed(
     documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, bounds: tuple[float, float] = FREE
 ) -> DataFrame:
     """Every document as often as its rate says, with the columns of ``documents``."""
-    rated = fit(documents, labels, targets, bounds).apply(documents)
-    times = copies(F.col("rate"), F.col("doc_id"), F.xxhash64("text"))
-    repeated = rated.withColumn("_again", F.explode(F.array_repeat(F.lit(0), times)))
-    return repeated.select(*documents.columns)
+    # All columns travel in one struct, so that none clashes with those of the mix.
+    whole = documents.select("doc_id", "text", F.struct(*documents.columns).alias("_row"))
+    found, _ = rated(whole, labels, ["_row"], targets, bounds)
+    row = F.col("_row")
+    times = copies(F.col("rate"), row["doc_id"], F.xxhash64(row["text"]))
+    return found.select(row, F.explode(F.array_repeat(F.lit(0), times))).select("_row.*")
