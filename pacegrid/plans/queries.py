@@ -718,7 +718,7 @@ def upsert_load(t: Tables) -> DataFrame:
     tables.upsert(first, path, "activity_id", TABLE_BUCKETS)
     later = _changed(rows.where(F.col("date") >= F.lit(SECOND_LOAD_FROM)))
     tables.upsert(later, path, "activity_id", TABLE_BUCKETS)
-    return t.spark.read.parquet(path).drop("bucket")
+    return t.spark.read.parquet(path).drop("buckets", "bucket")
 
 
 @query
@@ -731,7 +731,7 @@ def replace_groups_load(t: Tables) -> DataFrame:
     split = F.col("date") < F.lit(SECOND_LOAD_FROM)
     tables.replace_groups(per_day.where(split), path, keys, TABLE_BUCKETS)
     tables.replace_groups(per_day.where(~split), path, keys, TABLE_BUCKETS)
-    return t.spark.read.parquet(path).drop("bucket")
+    return t.spark.read.parquet(path).drop("buckets", "bucket")
 
 
 @query

@@ -2,8 +2,9 @@
 
 Append-style tables are plain Parquet folders. Tables whose rows get replaced are laid out
 in hash buckets of their key, so that a load rewrites only the buckets it touches; Spark
-stages a dynamic partition overwrite and moves it into place when the job commits, so a
-failed or repeated load leaves or reaches the same end state.
+stages a dynamic partition overwrite and moves it into place when the job commits. A repeated
+load reaches the same end state; a crash inside that commit can lose rows of touched buckets.
+The number of buckets is a partition column of the table, and a load with another is refused.
 """
 
 from __future__ import annotations
@@ -98,13 +99,29 @@ def bucket_of(keys: list[str], buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+def check_layout(table: DataFrame, path: str, buckets: int) -> None:
+    """Refuse a table that was not laid out in ``buckets`` buckets."""
+    if "buckets" not in table.columns:
+        raise ValueError(f"{path} is not laid out in buckets")
+    found = table.select("buckets").first()
+    if found is not None and found.buckets != buckets:
+        raise ValueError(f"{path} is laid out in {found.buckets} buckets, not {buckets}")
+
+
 def replace_groups(
     batch: DataFrame, path: str, keys: list[str], buckets: int = BUCKETS
 ) -> None:
-    """Delete all rows that share a key tuple with the batch, then insert the batch."""
-    batch = staged(batch)
-    incoming = batch.withColumn("bucket", bucket_of(keys, buckets))
+    """Delete all rows that share a key tuple with the batch, then insert the batch.
+
+    Raises ValueError for a table laid out in another number of buckets, as rows of a key
+    would then lie in two places.
+    """
     table = read_parquet_if_any(batch.sparkSession, path)
+    if table is not None:
+        check_layout(table, path, buckets)
+    batch = staged(batch)
+    layout = {"buckets": F.lit(buckets), "bucket": bucket_of(keys, buckets)}
+    incoming = batch.withColumns(layout)
     if table is None:
         after = incoming
     else:
@@ -118,7 +135,7 @@ def replace_groups(
         after.hint("rebalance", "bucket")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
+        .partitionBy(*layout)
         .parquet(path)
     )
 

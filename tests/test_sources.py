@@ -198,6 +198,18 @@ def test_upsert_leaves_other_buckets_alone(spark, tmp_path):
     assert len(before & after) == len(before) - 1 == 7
 
 
+def test_upsert_refuses_another_number_of_buckets(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = batch(spark, *[(i, "old") for i in range(50)])
+    tables.upsert(old, path, "k", buckets=8)
+    with pytest.raises(ValueError, match="8 buckets, not 16"):
+        tables.upsert(old, path, "k", buckets=16)
+    tables.append_table(old, str(tmp_path / "plain"))
+    with pytest.raises(ValueError, match="not laid out"):
+        tables.upsert(old, str(tmp_path / "plain"), "k")
+    assert len(loaded(spark, path)) == 50
+
+
 def test_replace_groups_deletes_the_whole_group(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = [(a, label, d) for a in (1, 2) for label in ("5K", "10K") for d in (1, 2)]
