@@ -2,12 +2,13 @@
 
 A naive Bayes classifier, counted from a table of labelled documents, gives every document a
 posterior over domains. Document rates r ≥ 0 are then fitted so that the expected tokens of
-each domain, the sum of rate × tokens × posterior, match the targets: least squares with a
-small pull towards one common rate, solved by projected gradient steps.
+each domain, the sum of rate × tokens × posterior, match the targets: of all rates that do,
+those nearest to one common rate.
 
-A step changes a document's rate by its posterior and the domains' residuals alone. So the
-state of the solver is the list of residuals, a few numbers a step: rates are an expression
-over posteriors, each step is one aggregate, and nothing grows but that list. All of it is
+Such rates are the common rate plus one multiplier a domain times the posterior, kept between
+the bounds. The multipliers, a few numbers, are found by Newton steps with a line search on
+the dual, one aggregate a step, until the totals are met. Targets that no rates meet are
+approached by least squares, logged, and told by ``met`` and ``reached``. All of it is
 DataFrame expressions.
 
 Defined results: null and empty texts have no tokens and the prior as posterior; rows are
@@ -17,8 +18,10 @@ domains are equally likely.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import logging
+from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,11 +37,16 @@ FEATURES = 2048
 WORD_LETTERS = 5
 #: Total tokens wanted, over the least total that needs no document to be left out.
 HEADROOM = 1.05
-PULL = 1e-3
-STEPS = 40
+#: Weight of the multipliers' own size: it only decides where no rates meet the targets.
+PULL = 1e-6
+#: Newton steps at most; a fit that misses its targets after them says so.
+STEPS = 30
+#: With a floor, the total grows by this factor until the targets are met, so many times at most.
+GROWTH, GROWTHS = 1.5, 8
 #: Steps end when every domain is this near to its target, as a share of all tokens.
 CLOSE = 1e-4
 SEED = 41
+LOG = logging.getLogger(__name__)
 #: Least and greatest rate.
 FREE = (0.0, float("inf"))
 
@@ -154,6 +162,13 @@ class Mix:
     step: float
     targets: list[float]
     bounds: tuple[float, float] = FREE
+    #: Expected tokens of each domain, and whether all are as near to the targets as ``CLOSE``.
+    reached: list[float] = field(default_factory=list)
+    met: bool = False
+
+    def shares(self) -> dict[str, float]:
+        whole = sum(self.reached) or 1.0
+        return {n: round(r / whole, 4) for n, r in zip(self.classifier.domains, self.reached)}
 
     def rate(self, posterior: Column) -> Column:
         return rate_of(posterior, self.history, self.start, PULL, self.step, self.bounds)
@@ -176,8 +191,7 @@ def fit(
 ) -> Mix:
     """Classifier and rates; targets are shares of tokens by domain. ``bounds`` are
     the least and the greatest rate: from 1 on no document is left out, and with an upper one
-    none is repeated more often, also where a domain has hardly any tokens. Totals come as
-    near to the targets as the bounds allow."""
+    none is repeated more often. ``reached`` and ``met`` tell how near the totals come."""
     model = learn(documents, labels)
     data = written(Mix(model, [], 1.0, 0.0, []).apply(documents.select("text")).drop("text", "rate"), "mixing")
     return solve(data, model, targets, bounds)
@@ -216,24 +230,71 @@ def solve(
     gram = {p: found[1 + len(share) + i] / total for i, p in enumerate(pairs)}
     whole = sum(targets.values())
     wanted = [targets[n] / whole for n in model.domains]
-    start = HEADROOM * max(s / w for s, w in zip(share, wanted) if w)
-    goal = [start * w for w in wanted]
-    # Scaled by the diagonal, rows of the Gram matrix bound its largest eigenvalue.
-    scale = [1 / max(gram[d, d], 1e-12) for d in domains]
-    bound = max(
-        sum((scale[a] * scale[b]) ** 0.5 * gram[min(a, b), max(a, b)] for b in domains) for a in domains
-    )
-    step = 1 / (bound + PULL)
-    history: list[list[float]] = []
-    for _ in range(STEPS):
-        rate = rate_of(F.array(*(F.col(f"p{d}") for d in domains)), history, start, PULL, step, bounds)
-        rated = data.withColumn("_rt", rate * F.col("t"))
-        now = rated.agg(*(F.sum(F.col("_rt") * F.col(f"p{d}")) for d in domains)).first()
-        off = [now[d] / total - goal[d] for d in domains]
-        if max(map(abs, off)) < CLOSE * start:
-            break
-        history.append([scale[d] * off[d] for d in domains])
-    return Mix(model, history, start, step, [g * total for g in goal], bounds)
+    least = HEADROOM * max(s / w for s, w in zip(share, wanted) if w)
+
+    def at(multipliers: np.ndarray, start: float, bounds: tuple[float, float]) -> tuple[np.ndarray, np.ndarray, float]:
+        """Domain totals, their slopes and the dual's value, as shares of all tokens: one pass."""
+        z, r, t = F.col("_z"), F.col("_r"), F.col("t")
+        rates = data.withColumn("_z", _plane(multipliers, start)).withColumn("_r", _between(F.col("_z"), bounds))
+        loose = F.when(z == r, t).otherwise(0.0)
+        row = rates.agg(
+            *(F.sum(r * t * F.col(f"p{d}")) for d in domains),
+            *(F.sum(loose * F.col(f"p{a}") * F.col(f"p{b}")) for a, b in pairs),
+            F.sum(t * (r * z - r * r / 2)),
+        ).first()
+        slopes = np.zeros((len(domains), len(domains)))
+        for i, (a, b) in enumerate(pairs):
+            slopes[a, b] = slopes[b, a] = row[len(domains) + i] / total
+        return np.array(row[: len(domains)]) / total, slopes, row[-1] / total
+
+    ridge = PULL * np.array([max(gram[d, d], 1e-12) for d in domains])
+
+    def fitted(start: float, bounds: tuple[float, float]) -> Mix:
+        goal = start * np.array(wanted)
+        x = np.zeros(len(domains))
+        now, slopes, value = at(x, start, bounds)
+        for _ in range(STEPS):
+            slope = now - goal + ridge * x
+            if np.abs(now - goal).max() < CLOSE * start or np.abs(slope).max() < CLOSE**2 * start:
+                break
+            move = -np.linalg.solve(slopes + np.diag(ridge), slope)
+            height = value - x @ goal + ridge @ x**2 / 2
+            length = 1.0
+            while length > 1e-4:
+                y = x + length * move
+                now_y, slopes_y, value_y = at(y, start, bounds)
+                if value_y - y @ goal + ridge @ y**2 / 2 <= height + 1e-4 * length * (slope @ move):
+                    break
+                length /= 2
+            else:
+                break
+            x, now, slopes, value = y, now_y, slopes_y, value_y
+        met = bool(np.abs(now - goal).max() < CLOSE * start)
+        reached = [float(n) * total for n in now]
+        return Mix(model, [[-float(v) for v in x]], start, 1.0, [float(g) * total for g in goal], bounds, reached, met)
+
+    first = mix = fitted(least, bounds)
+    # A floor may need a larger total, but none helps where free rates miss the targets too.
+    if not mix.met and bounds[0] > 0 and bounds[1] == FREE[1] and fitted(least, FREE).met:
+        for _ in range(GROWTHS):
+            mix = fitted(mix.start * GROWTH, bounds)
+            if mix.met:
+                break
+    if not mix.met:
+        mix = first
+        LOG.warning("mixing: targets %s not met, reached %s", dict(zip(model.domains, wanted)), mix.shares())
+    return mix
+
+
+def _plane(multipliers, start: float) -> Column:
+    z = F.lit(float(start))
+    for d, m in enumerate(multipliers):
+        z = z + F.lit(float(m)) * F.col(f"p{d}")
+    return z
+
+
+def _between(z: Column, bounds: tuple[float, float]) -> Column:
+    return F.least(F.lit(float(bounds[1])), F.greatest(F.lit(float(bounds[0])), z))
 
 
 def copies(rate: Column, *key: Column) -> Column:

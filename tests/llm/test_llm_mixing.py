@@ -106,3 +106,38 @@ def test_pipeline_stages(spark):
     times = {r["doc_id"]: r["count"] for r in fourth.groupBy("doc_id").count().collect()}
     assert set(times) == staying
     assert tokens(spark, fourth, FOLDER).count() == sum(times.values())
+
+
+def rare_scored(spark, n=4000):
+    """Posteriors with one domain in a hundredth of the rows."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(n):
+        poor = 0.9 if i % 100 == 0 else rng.uniform(0.0, 0.02)
+        toxic = rng.uniform(0.0, 0.3) * (1 - poor)
+        rows.append((rng.randint(20, 90), [1 - poor - toxic, poor, toxic]))
+    return spark.createDataFrame(rows, "n_tokens long, posterior array<double>")
+
+
+def reached_shares(scored, mix):
+    weight = mix.rate(F.col("posterior")) * F.col("n_tokens")
+    row = scored.agg(*(F.sum(weight * F.get("posterior", F.lit(d))) for d in range(3))).first()
+    return [x / sum(row) for x in row]
+
+
+def test_the_solver_runs_until_rare_domains_are_met(spark):
+    scored = rare_scored(spark)
+    model = mixing.Classifier(list(mixing.DOMAINS), [1 / 3] * 3, [])
+    mix = mixing.solve(scored, model)
+    got = reached_shares(scored, mix)
+    assert all(abs(s - w) < 5e-4 for s, w in zip(got, mixing.TARGETS.values())), got
+    assert mix.met
+    assert all(abs(a - b) < 1e-3 for a, b in zip(got, mix.shares().values()))
+
+
+def test_targets_that_no_rates_meet_are_told(spark, caplog):
+    scored = spark.createDataFrame([(10, [0.5, 0.25, 0.25])] * 5, "n_tokens long, posterior array<double>")
+    model = mixing.Classifier(list(mixing.DOMAINS), [1 / 3] * 3, [])
+    mix = mixing.solve(scored, model)
+    assert not mix.met
+    assert "not met" in caplog.text
