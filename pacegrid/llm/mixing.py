@@ -1,7 +1,8 @@
 """Mixing sources to target weights by soft membership.
 
-A naive Bayes classifier, counted from a table of labelled documents, gives every document a
-posterior over domains. Document rates r ≥ 0 are then fitted so that the expected tokens of
+A naive Bayes classifier over hashed words, counted from a table of labelled documents and
+calibrated on each of them with the others' counts, gives every document a posterior over
+domains. Document rates r ≥ 0 are then fitted so that the expected tokens of
 each domain, the sum of rate × tokens × posterior, match the targets: of all rates that do,
 those nearest to one common rate.
 
@@ -32,9 +33,13 @@ DOMAINS = {"good": "toxic = 0 AND quality = 1", "poor": "toxic = 0 AND quality =
 TARGETS = {"good": 0.7, "poor": 0.2, "toxic": 0.1}
 #: Rows of ``labels`` that the classifier is counted from at most, chosen by a hash.
 LABELLED_ROWS = 20_000
-FEATURES = 2048
-#: Letters of a word that make its feature.
-WORD_LETTERS = 5
+#: Whole words are hashed into so many features; the weights are one array a domain.
+FEATURES = 1 << 17
+#: Texts that a feature's ratio between a domain and all is drawn towards 1 by.
+PRIOR_TEXTS = 1.0
+#: Powers of a text's length that its sum may be divided by, and the calibration's ridge.
+POWERS = (0.0, 0.5, 1.0)
+RIDGE = 1.0
 #: Total tokens wanted, over the least total that needs no document to be left out.
 HEADROOM = 1.05
 #: Weight of the multipliers' own size: it only decides where no rates meet the targets.
@@ -56,9 +61,7 @@ def features(text: Column) -> Column:
     words = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), "")
 
     def both(found: Column) -> Column:
-        hashed = F.transform(
-            found, lambda w: F.pmod(F.xxhash64(F.substring(w, 1, WORD_LETTERS)), F.lit(FEATURES)).cast("int")
-        )
+        hashed = F.transform(found, lambda w: F.pmod(F.xxhash64(w), F.lit(FEATURES)).cast("int"))
         return F.struct(F.size(found).cast("bigint").alias("n"), F.array_distinct(hashed).alias("at"))
 
     return let(words, both)
@@ -74,16 +77,32 @@ class Classifier:
     domains: list[str]
     prior: list[float]
     weights: list[list[float]]
+    #: By domain, what the sums of all domains, the log of the length and 1 count for; from
+    #: labelled rows. None takes the sums as they are.
+    mixture: list[list[float]] | None = None
+    power: float = 0.5
 
     def posterior(self, found: Column) -> Column:
         """An array of probabilities, one a domain, from ``features``."""
-        # The sum is softened by the root of its length: words of a text are not independent.
-        scale = F.sqrt(F.greatest(F.size(found["at"]), F.lit(1)).cast("double"))
+        size = F.size(found["at"]).cast("double")
+        scale = F.pow(F.greatest(size, F.lit(1.0)), F.lit(self.power))
 
         def total(weights: Column) -> Column:
             return F.aggregate(found["at"], F.lit(0.0), lambda a, f: a + F.get(weights, f))
 
-        sums = [total(numbers(w)) / scale + F.log(F.lit(p)) for p, w in zip(self.prior, self.weights)]
+        sums = F.array(*(total(numbers(w)) / scale for w in self.weights))
+        prior = [F.log(F.lit(p)) for p in self.prior]
+
+        def logs(given: Column) -> Column:
+            if self.mixture is None:
+                return F.array(*(F.get(given, F.lit(d)) + p for d, p in enumerate(prior)))
+            out = []
+            for row, p in zip(self.mixture, prior):
+                one = F.lit(row[-1]) + F.lit(row[-2]) * F.log1p(size)
+                for d in range(len(self.domains)):
+                    one = one + F.lit(row[d]) * F.get(given, F.lit(d))
+                out.append(F.when(size > 0, one).otherwise(p))
+            return F.array(*out)
 
         def normal(logs: Column) -> Column:
             return let(
@@ -91,7 +110,7 @@ class Classifier:
                 lambda e: F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b)),
             )
 
-        return let(F.array(*sums), normal)
+        return let(let(sums, logs), normal)
 
 
 def learn(
@@ -104,31 +123,88 @@ def learn(
     known = labels.where("doc_id IS NOT NULL").withColumn("domain", which).where("domain IS NOT NULL")
     known = known.groupBy("doc_id").agg(F.min("domain").alias("domain"))
     chosen = known.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(rows)
-    # Bounded by ``rows``.
+    # Bounded by ``rows``: one text of each id.
     texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    # -1 counts the documents of a domain.
-    each = F.explode(F.array_append(features(F.col("text"))["at"], F.lit(-1)))
-    counts = texts.select("domain", each.alias("at")).groupBy("domain", "at").count()
-    by_domain: dict[str, dict[int, int]] = {n: {} for n in names}
-    for domain, at, n in counts.collect():  # domains × features at most
-        by_domain[domain][at] = n
-    total = sum(c.get(-1, 0) for c in by_domain.values())
-    prior = [(by_domain[n].get(-1, 0) + 1) / (total + len(names)) for n in names]
-    weights = []
-    for n in names:
-        one = by_domain[n]
-        # Presence against absence; the sum over absent features is nearly the same for all
-        # texts of a domain and is left out.
-        shares = [(one.get(k, 0) + 0.5) / (one.get(-1, 0) + 1) for k in range(FEATURES)]
-        mean = sum(shares)
-        weights.append([_log(s / mean) for s in shares])
-    return Classifier(names, prior, weights)
-
-
-def _log(x: float) -> float:
-    from math import log
-
-    return round(log(x), 6)
+    found = texts.select("doc_id", "domain", features(F.col("text"))["at"].alias("at"))
+    found = found.groupBy("doc_id", "domain").agg(F.min("at").alias("at")).toArrow()
+    found = found.sort_by("doc_id")  # the order in which rows come must not matter
+    own = np.array([names.index(n) for n in found["domain"].to_pylist()], dtype=np.int64)
+    lists = found["at"].combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    return trained(names, own, lists.flatten().to_numpy().astype(np.int64), sizes)
+
+
+def trained(names: list[str], own: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> Classifier:
+    """Weights by counts, and what their sums tell about the domain by how they came out for
+    each labelled row with weights counted from the other rows."""
+    n, count = len(own), np.bincount(own, minlength=len(names))
+    prior = [(int(c) + 1) / (n + len(names)) for c in count]
+    row = np.repeat(np.arange(n), sizes)
+    by = np.stack([np.bincount(at[own[row] == d], minlength=FEATURES) for d in range(len(names))])
+    whole = by.sum(axis=0)
+
+    def weight(here, texts, everywhere, of):
+        # Presence against what the feature's share of all texts lets expect.
+        return np.log((here + PRIOR_TEXTS) / (texts * everywhere / max(of, 1) + PRIOR_TEXTS))
+
+    weights = [np.round(weight(by[d], count[d], whole, n), 4).tolist() for d in range(len(names))]
+    if n < 2 or (count > 0).sum() < 2:
+        return Classifier(names, prior, weights)
+    sums = []
+    for d in range(len(names)):
+        less = (own[row] == d).astype(np.int64)
+        others = weight(by[d][at] - less, count[d] - less, whole[at] - 1, n - 1)
+        sums.append(np.bincount(row, others, n))
+    best = None
+    for power in POWERS:
+        given = np.stack([s / np.maximum(sizes, 1) ** power for s in sums] + [np.log1p(sizes), np.ones(n)], axis=1)
+        loss, mixture = calibrated(given[sizes > 0], own[sizes > 0], len(names), prior)
+        if best is None or loss < best[0]:
+            best = (loss, power, mixture)
+    return Classifier(names, prior, weights, np.round(best[2], 6).tolist(), best[1])
+
+
+def calibrated(given: np.ndarray, own: np.ndarray, classes: int, prior: list[float]) -> tuple[float, np.ndarray]:
+    """Multinomial logistic regression by Newton steps: loss, and coefficients by class."""
+    middle, spread = given.mean(axis=0), given.std(axis=0)
+    spread[spread < 1e-9] = 1.0
+    middle[-1], spread[-1] = 0.0, 1.0
+    x, wide = (given - middle) / spread, given.shape[1]
+    beta = np.zeros((classes, wide))
+    beta[:, -1] = np.log(prior)
+    hit = np.eye(classes)[own]
+    pull = np.full((classes, wide), RIDGE)
+    pull[:, -1] = 1e-3
+
+    def chances(b):
+        z = x @ b.T
+        e = np.exp(z - z.max(axis=1, keepdims=True))
+        return e / e.sum(axis=1, keepdims=True)
+
+    def loss(b, p):
+        return -np.log(np.maximum(p[np.arange(len(own)), own], 1e-300)).sum() + (pull * b**2).sum() / 2
+
+    p = chances(beta)
+    now = loss(beta, p)
+    for _ in range(100):
+        slope = (p - hit).T @ x + pull * beta
+        bend = np.diag(pull.ravel())
+        for a in range(classes):
+            for b in range(classes):
+                w = p[:, a] * ((a == b) - p[:, b])
+                bend[a * wide : (a + 1) * wide, b * wide : (b + 1) * wide] += (x * w[:, None]).T @ x
+        move = np.linalg.solve(bend, slope.ravel()).reshape(beta.shape)
+        length = 1.0
+        while length > 1e-6 and loss(beta - length * move, chances(beta - length * move)) > now:
+            length /= 2
+        beta = beta - length * move
+        p, last = chances(beta), now
+        now = loss(beta, p)
+        if last - now < 1e-7 * max(1.0, abs(now)):
+            break
+    out = beta / spread
+    out[:, -1] -= (beta[:, :-1] * middle[:-1] / spread[:-1]).sum(axis=1)
+    return now, out
 
 
 def rate_of(

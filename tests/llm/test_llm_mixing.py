@@ -141,3 +141,24 @@ def test_targets_that_no_rates_meet_are_told(spark, caplog):
     mix = mixing.solve(scored, model)
     assert not mix.met
     assert "not met" in caplog.text
+
+
+def test_words_that_begin_alike_are_told_apart(spark):
+    rng = random.Random(6)
+    common = [f"common{i}" for i in range(400)]
+    marks = {"good": "interesting", "poor": "interfering", "toxic": "interrupted"}
+    rows, labels = [], []
+    for i in range(600):
+        domain = rng.choices(["good", "poor", "toxic"], [0.7, 0.2, 0.1])[0]
+        rows.append((i, " ".join([*rng.choices(common, k=30), *[marks[domain]] * rng.randint(1, 3)])))
+        labels.append((i, int(domain != "poor"), int(domain == "toxic")))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = spark.createDataFrame(labels[:400], "doc_id long, quality int, toxic int")
+    model = mixing.learn(documents, seen)
+    scored = documents.where("doc_id >= 400").select("doc_id", model.posterior(mixing.features(F.col("text"))).alias("p"))
+    right = 0
+    for r in scored.collect():
+        _, quality, toxic = labels[r["doc_id"]]
+        truth = "toxic" if toxic else "good" if quality else "poor"
+        right += model.domains[max(range(3), key=lambda d: r["p"][d])] == truth
+    assert right > 190, right
