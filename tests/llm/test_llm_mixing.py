@@ -162,3 +162,13 @@ def test_words_that_begin_alike_are_told_apart(spark):
         truth = "toxic" if toxic else "good" if quality else "poor"
         right += model.domains[max(range(3), key=lambda d: r["p"][d])] == truth
     assert right > 190, right
+
+
+def test_the_pipeline_mix_reaches_its_targets(spark):
+    """Rates of at least 1 meet the targets, also where a domain is rare."""
+    scored = rare_scored(spark)
+    model = mixing.Classifier(list(mixing.DOMAINS), [1 / 3] * 3, [])
+    mix = mixing.solve(scored, model, bounds=corpus_pipeline.EPOCHS)
+    got = reached_shares(scored, mix)
+    assert all(abs(s - w) < 5e-4 for s, w in zip(got, mixing.TARGETS.values())), got
+    assert scored.agg(F.min(mix.rate(F.col("posterior")))).first()[0] >= 1
