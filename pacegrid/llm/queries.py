@@ -65,7 +65,7 @@ def op8_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    return line_chunks.dedup_lines(documents)
+    return line_chunks.dedup_runs(documents)
 
 
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:

@@ -80,6 +80,54 @@ def test_dedup_of_empty_and_unique_tables(spark):
     assert [tuple(r) for r in line_chunks.dedup_lines(one).collect()] == [(1, "a b\nc d", 0)]
 
 
+def repeated_lines(texts):
+    """By document, the lines in later copies of a run of at least 50 words, from all runs of lines."""
+    seen, out = {}, []
+    for i, t in enumerate(texts):
+        lines, gone = t.split("\n"), set()
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                run = "\n".join(lines[a:b])
+                if len(run.split()) < 50:
+                    continue
+                j, at = seen.setdefault(run, (i, a))
+                if j != i or a >= at + b - a:
+                    gone |= {k for k in range(a, b) if lines[k].split()}
+        out.append(gone)
+    return out
+
+
+def test_repeated_runs_of_short_lines_go(spark):
+    rng = random.Random(5)
+
+    def line(n):
+        return " ".join(f"w{rng.randint(0, 5000)}" for _ in range(n))
+
+    shapes = [(5, 12), (3, 20), (4, 20), (10, 12), (5, 30), (4, 45), (2, 30), (6, 9)]
+    passages = ["\n".join(line(w) for _ in range(n)) for n, w in shapes]
+    passages.append(line(40) + "\n\n \n" + line(40))
+    texts = []
+    for i in range(60):
+        parts = [line(rng.randint(1, 20)) for _ in range(rng.randint(1, 6))]
+        parts.insert(rng.randint(0, len(parts)), passages[i % len(passages)])
+        texts.append("\n".join(parts))
+    texts.append("\n".join([line(10)] * 20))
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame([*rows, (900, None), (901, "")], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in line_chunks.dedup_runs(df).collect()}
+    assert len(found) == len(rows) + 2 and found[900]["text"] is None and found[901]["text"] == ""
+    for (i, t), gone in zip(rows, repeated_lines(texts)):
+        lines, left = t.split("\n"), found[i]["text"].split("\n")
+        for k in gone:
+            if lines.count(lines[k]) == 1:
+                assert lines[k] not in left, (i, k)
+        assert found[i]["n_removed_lines"] >= len(gone)
+    kept = {line for r in found.values() for line in (r["text"] or "").split("\n")}
+    assert {line for t in texts for line in t.split("\n") if line.strip()} <= kept
+    for passage in passages[:8]:
+        assert sum(any(x in found[i]["text"].split("\n") for x in passage.split("\n")) for i, _ in rows) == 1
+
+
 def toxic_table(n):
     rng = random.Random(9)
     words = ["".join(rng.choices("abcdefgh", k=rng.randint(3, 8))) for _ in range(3000)]
