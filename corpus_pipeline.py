@@ -12,8 +12,8 @@ from pacegrid.llm import bpe, jaccard, line_chunks, mixing, quality_rules
 from pacegrid.llm.common import table, vocabulary, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Every document is taken at least once, and as often as the targets need.
-EPOCHS = (1.0, float("inf"))
+#: Every document is taken at least once, and none more than four times.
+EPOCHS = (1.0, 4.0)
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -36,7 +36,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, each at least once."""
+    """Documents as often as the mix takes them, one to four times."""
     return mixing.mixed(docs.select(*COLUMNS), table(spark, sf_dir, "labels"), bounds=EPOCHS)
 
 

@@ -44,6 +44,8 @@ RIDGE = 1.0
 HEADROOM = 1.05
 #: Weight of the multipliers' own size: it only decides where no rates meet the targets.
 PULL = 1e-6
+#: The same where no rates do, whatever the domains' sizes.
+MISSED_PULL = 1e-2
 #: Newton steps at most; a fit that misses its targets after them says so.
 STEPS = 30
 #: With a floor, the total grows by this factor until the targets are met, so many times at most.
@@ -325,7 +327,7 @@ def solve(
 
     ridge = PULL * np.array([max(gram[d, d], 1e-12) for d in domains])
 
-    def fitted(start: float, bounds: tuple[float, float]) -> Mix:
+    def fitted(start: float, bounds: tuple[float, float], ridge: np.ndarray = ridge) -> Mix:
         goal = start * np.array(wanted)
         x = np.zeros(len(domains))
         now, slopes, value = at(x, start, bounds)
@@ -349,7 +351,7 @@ def solve(
         reached = [float(n) * total for n in now]
         return Mix(model, [[-float(v) for v in x]], start, 1.0, [float(g) * total for g in goal], bounds, reached, met)
 
-    first = mix = fitted(least, bounds)
+    mix = fitted(least, bounds)
     # A floor may need a larger total, but none helps where free rates miss the targets too.
     if not mix.met and bounds[0] > 0 and bounds[1] == FREE[1] and fitted(least, FREE).met:
         for _ in range(GROWTHS):
@@ -357,7 +359,9 @@ def solve(
             if mix.met:
                 break
     if not mix.met:
-        mix = first
+        # Without a stronger pull, texts next to nothing of a missing domain would be taken
+        # millions of times: rates are bounded by the misses over the pull.
+        mix = fitted(least, bounds, np.full(len(domains), MISSED_PULL))
         LOG.warning("mixing: targets %s not met, reached %s", dict(zip(model.domains, wanted)), mix.shares())
     return mix
 

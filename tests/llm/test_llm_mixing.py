@@ -141,6 +141,11 @@ def test_targets_that_no_rates_meet_are_told(spark, caplog):
     mix = mixing.solve(scored, model)
     assert not mix.met
     assert "not met" in caplog.text
+    rows = [(10, [0.9, 1e-9, 0.1 - 1e-9])] * 5 + [(10, [0.8, 1e-8, 0.2 - 1e-8])] * 5
+    absent = spark.createDataFrame(rows, "n_tokens long, posterior array<double>")
+    mix = mixing.solve(absent, model, bounds=(1.0, float("inf")))
+    assert not mix.met
+    assert absent.agg(F.max(mix.rate(F.col("posterior")))).first()[0] < 1000
 
 
 def test_words_that_begin_alike_are_told_apart(spark):
@@ -164,11 +169,11 @@ def test_words_that_begin_alike_are_told_apart(spark):
     assert right > 190, right
 
 
-def test_the_pipeline_mix_reaches_its_targets(spark):
+def test_rates_with_a_floor_reach_the_targets(spark):
     """Rates of at least 1 meet the targets, also where a domain is rare."""
     scored = rare_scored(spark)
     model = mixing.Classifier(list(mixing.DOMAINS), [1 / 3] * 3, [])
-    mix = mixing.solve(scored, model, bounds=corpus_pipeline.EPOCHS)
+    mix = mixing.solve(scored, model, bounds=(1.0, float("inf")))
     got = reached_shares(scored, mix)
     assert all(abs(s - w) < 5e-4 for s, w in zip(got, mixing.TARGETS.values())), got
     assert scored.agg(F.min(mix.rate(F.col("posterior")))).first()[0] >= 1
