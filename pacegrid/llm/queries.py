@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacegrid.llm import bpe, jaccard, license_scan, line_chunks, merkle, mixing, quality_rules, token_files, toxicity, url_filter
+from pacegrid.llm import bpe, jaccard, license_scan, line_chunks, merkle, mixing, quality_rules, recompression, token_files, toxicity, url_filter
 from pacegrid.llm.common import table, vocabulary
 from pacegrid.session import work_folder
 
@@ -74,6 +74,14 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(documents, ranks))
 
 
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    kept = recompression.dedup_substrings(documents)
+    return kept.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,10 +95,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_document_fingerprints,
         op9_line_dedup,
         op10_byte_bpe,
+        op13_substring_dedup,
     )
 }
 
-#: Op 3 in SQL: the list is joined on canonical URLs, without a filter before it.
+#: Op 3 in SQL: the list is joined on canonical URLs, without a filter before it. Op 13 in SQL:
+#: all windows of 50 words, without symbols.
 ORACLE: dict[str, str] = {
     "op3_url_filters": r"""
 WITH parts AS (
@@ -129,5 +139,31 @@ SELECT page_id, host, path, rule, listed,
                  WHEN 'example.com/de/' THEN 'block' WHEN 'org/fr/' THEN 'allow'
                  ELSE CASE WHEN listed THEN 'block' ELSE 'allow' END END AS verdict
 FROM ruled
+""",
+    "op13_substring_dedup": r"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x09-\x0D ]+'), lambda w: w <> '') AS words
+  FROM documents
+), windows AS (
+  SELECT r, doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM split WHERE len(words) >= 50
+), keyed AS (
+  SELECT r, doc_id, i, array_to_string(words[i:i + 49], ' ') AS passage FROM windows
+), firsts AS (
+  SELECT passage, min(doc_id) AS first_id FROM keyed GROUP BY passage
+), gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 50)) AS place
+  FROM keyed JOIN firsts USING (passage) WHERE first_id < doc_id OR (doc_id IS NULL AND first_id IS NOT NULL)
+), removed AS (
+  SELECT r, count(*) AS n_removed FROM gone GROUP BY r
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY place) AS text
+  FROM (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM split)
+       ANTI JOIN gone USING (r, place)
+  GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM split LEFT JOIN removed USING (r) LEFT JOIN kept USING (r)
 """,
 }
