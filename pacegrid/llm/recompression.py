@@ -25,6 +25,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +47,10 @@ HIGH_LEVELS = 16
 
 ODD_A, ODD_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 ODD_C, RUN = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x165667B19E3779F9)
+#: Places that no window holds, for what depends on a text's edge.
+BEFORE, BEHIND = -(1 << 29), 1 << 29
+WHITE = np.zeros(256, bool)
+WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -57,109 +63,116 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-@dataclass
-class Words:
-    """The words of some texts, one text after the other."""
-
-    #: Words joined by one space, by text.
-    joined: list[bytes]
-    #: Place of each text's first word, and of the end of the last.
-    edges: np.ndarray
-    #: Name of each word.
-    names: np.ndarray
-    #: Bytes of each word.
-    sizes: np.ndarray
-
-    def offsets(self, text: int) -> np.ndarray:
-        """Where each word of a text begins in its joined words; one beyond the end at last."""
-        sizes = self.sizes[self.edges[text] : self.edges[text + 1]]
-        return np.concatenate([[0], np.cumsum(sizes + 1)])
-
-
-def words_of(texts: Iterable[str | None]) -> Words:
-    split = [(t or "").encode().split() for t in texts]
-    edges = np.concatenate([[0], np.cumsum([len(w) for w in split])]).astype(np.int64)
-    every = pa.array([w for words in split for w in words], pa.binary()).dictionary_encode()
-    known = every.dictionary.to_pylist()
-    names = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in known), np.uint64, len(known))
-    sizes = np.fromiter((len(w) for w in known), np.int64, len(known))
-    at = every.indices.to_numpy()
-    return Words([b" ".join(w) for w in split], edges, names[at], sizes[at])
+@lru_cache(2)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, both modulo 2**64."""
+    base = int(ODD_B)
+    inverse = pow(base, -1, 1 << 64)
+    out = []
+    for b in (base, inverse):
+        row = np.full(n, b, np.uint64)
+        row[0] = 1
+        out.append(np.multiply.accumulate(row))
+    return out[0], out[1]
+
+
+def word_names(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """A name for each word of some texts, and the place of each text's first word (the number
+    of words at last)."""
+    raw = [(t or "").encode() for t in texts]
+    data = np.frombuffer(b" ".join([b"", *raw, b""]), np.uint8)
+    white = WHITE[data]
+    start = np.flatnonzero(white[:-1] & ~white[1:]) + 1
+    stop = np.flatnonzero(~white[:-1] & white[1:]) + 1
+    # A word's bytes as a polynomial: sums up to its ends, brought back to power 0.
+    up, down = powers(1 << max(20, len(data).bit_length()))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    names = mixed((sums[stop] - sums[start]) * down[start], (stop - start).astype(np.uint64))
+    begins = np.cumsum([1, *(len(r) + 1 for r in raw)])
+    return names, np.searchsorted(start, begins).astype(np.int32)
 
 
 @dataclass
 class Parse:
-    """The symbols of some texts at one level."""
+    """The symbols of some texts at one level, one text after the other."""
 
     name: np.ndarray
-    #: Words that a symbol stands for: place of the first, and of the one after the last.
+    #: Place of the first word that a symbol stands for; the next symbol begins where it ends.
     start: np.ndarray
-    stop: np.ndarray
-    #: Words that determine the symbol; beyond the text's edges if those have a part in it.
+    #: Words that determine the symbol, to the one after the last. Both ascend.
     low: np.ndarray
     high: np.ndarray
-    text: np.ndarray
+    #: Place of each text's first word, and of the end of the last.
     edges: np.ndarray
 
     @staticmethod
-    def of(words: Words) -> Parse:
-        n = len(words.names)
-        place = np.arange(n, dtype=np.int64)
-        text = np.repeat(np.arange(len(words.edges) - 1), np.diff(words.edges))
-        return Parse(words.names.copy(), place, place + 1, place, place + 1, text, words.edges)
-
-    def around(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """``low, high`` of the left and of the right neighbours; edges count as one word."""
-        first, last = self.edges[self.text] - 1, self.edges[self.text + 1] + 1
-        left_low, left_high = first.copy(), self.start.copy()
-        right_low, right_high = self.stop.copy(), last
-        if len(self.text):
-            inner = np.flatnonzero(self.text[1:] == self.text[:-1])
-            left_low[inner + 1], left_high[inner + 1] = self.low[inner], self.high[inner]
-            right_low[inner], right_high[inner] = self.low[inner + 1], self.high[inner + 1]
-        return left_low, left_high, right_low, right_high
-
-    def take(self, at: np.ndarray) -> Parse:
-        kept = (a[at] for a in (self.name, self.start, self.stop, self.low, self.high, self.text))
-        return Parse(*kept, self.edges)
+    def of(names: np.ndarray, edges: np.ndarray) -> Parse:
+        place = np.arange(len(names), dtype=np.int32)
+        return Parse(names, place, place, place + 1, edges)
+
+    def stops(self) -> np.ndarray:
+        return np.append(self.start[1:], self.edges[-1])
+
+    def ends(self) -> tuple[np.ndarray, np.ndarray]:
+        """The first and the last symbol of each text that has any."""
+        first = np.searchsorted(self.start, self.edges[:-1][np.diff(self.edges) > 0])
+        return first, np.append(first[1:], len(self.start)) - 1
+
+    def of_texts(self, texts: list[int]) -> Parse:
+        """Some of the texts alone."""
+        at = np.searchsorted(self.start, self.edges)
+        sizes = np.diff(self.edges)[texts]
+        edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        kept = np.concatenate([np.arange(at[t], at[t + 1]) for t in texts] or [at[:0]])
+        moved = np.repeat(edges[:-1] - self.edges[:-1][texts], (at[1:] - at[:-1])[texts])
+        return Parse(self.name[kept], self.start[kept] + moved, self.low[kept], self.high[kept], edges)
 
     def runs(self) -> Parse:
         """Equal neighbours as one symbol. That a run ends is up to both neighbours."""
-        if not len(self.name):
+        n = len(self.name)
+        if not n:
             return self
-        left_low, left_high, right_low, right_high = self.around()
-        same = np.concatenate([[False], (self.name[1:] == self.name[:-1]) & (self.text[1:] == self.text[:-1])])
-        heads = np.flatnonzero(~same)
-        tails = np.concatenate([heads[1:], [len(same)]]) - 1
-        out = self.take(heads)
-        length = (tails - heads + 1).astype(np.uint64)
-        many = length > 1
-        out.name[many] = mixed(out.name[many] ^ RUN, length[many])
-        out.stop = self.stop[tails]
-        low = np.minimum(np.minimum(self.low, left_low), right_low)
-        high = np.maximum(np.maximum(self.high, right_high), left_high)
-        out.low, out.high = np.minimum.reduceat(low, heads), np.maximum.reduceat(high, heads)
-        return out
+        first, last = self.ends()
+        head = np.ones(n, bool)
+        np.not_equal(self.name[1:], self.name[:-1], out=head[1:])
+        head[first] = True
+        heads = np.flatnonzero(head)
+        tails = np.append(heads[1:], n) - 1
+        name = self.name[heads]
+        many = np.flatnonzero(tails > heads)
+        name[many] = mixed(name[many] ^ RUN, (tails - heads + 1)[many].astype(np.uint64))
+        low, high = self.low[heads - 1], self.high[np.minimum(tails + 1, n - 1)]
+        low[np.searchsorted(heads, first)] = BEFORE
+        high[np.searchsorted(tails, last)] = BEHIND
+        return Parse(name, self.start[heads], low, high, self.edges)
 
     def pairs(self, level: int) -> Parse:
         """Left names and the right ones after them as one symbol. That a symbol stays alone is
         up to the neighbour it could have been paired with."""
-        if not len(self.name):
+        n = len(self.name)
+        if not n:
             return self
-        left_low, left_high, right_low, right_high = self.around()
+        first, last = self.ends()
         coin = np.full(1, level, np.uint64) * RUN
         left = (mixed(self.name, coin) >> np.uint64(63)) == 0
-        first = np.flatnonzero(left[:-1] & ~left[1:] & (self.text[1:] == self.text[:-1]))
-        low = np.minimum(self.low, np.where(left, right_low, left_low))
-        high = np.maximum(self.high, np.where(left, right_high, left_high))
-        low[first] = np.minimum(self.low[first], self.low[first + 1])
-        high[first] = np.maximum(self.high[first], self.high[first + 1])
-        name, stop = self.name.copy(), self.stop.copy()
-        name[first] = mixed(self.name[first], self.name[first + 1])
-        stop[first] = self.stop[first + 1]
-        keep = np.ones(len(name), bool)
-        keep[first + 1] = False
-        return Parse(name, self.start, stop, low, high, self.text, self.edges).take(np.flatnonzero(keep))
+        second = np.zeros(n, bool)
+        np.logical_and(left[:-1], ~left[1:], out=second[1:])
+        second[first] = False
+        keep = np.flatnonzero(~second)
+        paired = np.append(second[1:], False)[keep]
+        name = self.name[keep]
+        name[paired] = mixed(name[paired], self.name[keep[paired] + 1])
+        of_left = left[keep]
+        right_after, left_before = keep[of_left] + 1, keep[~of_left] - 1
+        low, high = self.low[keep], self.high[keep]
+        high[of_left] = self.high[np.minimum(right_after, n - 1)]
+        low[~of_left] = self.low[left_before]
+        alone = first[~left[first]]
+        low[np.searchsorted(keep, alone)] = BEFORE
+        alone = last[left[last]]
+        high[np.searchsorted(keep, alone)] = BEHIND
+        return Parse(name, self.start[keep], low, high, self.edges)
 
     def levels(self, first: int, last: int) -> Parse:
         now = self
@@ -168,23 +181,29 @@ class Parse:
         return now
 
     def determined(self) -> np.ndarray:
-        """Symbols that words of one window can determine."""
-        inside = (self.low >= self.edges[self.text]) & (self.high <= self.edges[self.text + 1])
-        return inside & (self.high - self.low <= WINDOW) & (self.stop - self.start > 1)
+        """Symbols of several words that words of one window can determine."""
+        return (self.high - self.low <= WINDOW) & (self.stops() - self.start > 1)
 
 
 def living(parse: Parse, shared: np.ndarray) -> np.ndarray:
     """Whether the window from each word on can be a repeat."""
     n = int(parse.edges[-1])
     alone = np.flatnonzero(parse.determined() & ~np.isin(parse.name, shared))
-    first = np.maximum(parse.high[alone] - WINDOW, parse.edges[parse.text[alone]])
-    change = np.bincount(first, minlength=n + 1) - np.bincount(parse.low[alone] + 1, minlength=n + 2)[: n + 1]
+    # Windows that begin in the text before are too near to its end to be any.
+    change = np.bincount(np.maximum(parse.high[alone] - WINDOW, 0), minlength=n + 1)
+    change = change[: n + 1] - np.bincount(parse.low[alone] + 1, minlength=n + 1)[: n + 1]
     alive = np.cumsum(change)[:n] == 0
     for stop in parse.edges[1:]:
         alive[max(stop - WINDOW + 1, 0) : stop] = False
     return alive
 
 
+def joined_words(text: str) -> tuple[bytes, list[int]]:
+    """The words joined by one space, and where each begins, one beyond the end at last."""
+    words = text.encode().split()
+    return b" ".join(words), [0, *accumulate(len(w) + 1 for w in words)]
+
+
 def stretches(marks: np.ndarray) -> list[tuple[int, int]]:
     """Runs of true values: first place, and the one after the last."""
     change = np.flatnonzero(np.diff(np.concatenate([[False], marks, [False]]).astype(np.int8)))
@@ -217,13 +236,13 @@ def named(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
-            words = words_of(batch.column("_text").to_pylist())
-            parse = Parse.of(words).levels(0, LOW_LEVELS)
-            parse = parse.take(np.flatnonzero(parse.determined()))
-            edges = np.searchsorted(parse.text, np.arange(batch.num_rows + 1))
-            names = parse.name.view(np.int64)
-            long = np.diff(words.edges) >= WINDOW
-            found = [np.unique(names[a:b]) if enough else [] for a, b, enough in zip(edges, edges[1:], long)]
+            words, edges = word_names(batch.column("_text").to_pylist())
+            parse = Parse.of(words, edges).levels(0, LOW_LEVELS)
+            chosen = parse.determined()
+            at = np.concatenate([[0], np.cumsum(chosen)])[np.searchsorted(parse.start, edges)]
+            names = parse.name[chosen].view(np.int64)
+            long = np.diff(edges) >= WINDOW
+            found = [np.unique(names[a:b]) if enough else [] for a, b, enough in zip(at, at[1:], long)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_row"), pa.array(found, pa.list_(pa.int64()))], ["_row", "_names"]
             )
@@ -237,26 +256,25 @@ def revealed(rows: DataFrame, kind: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
-            words = words_of(batch.column("_text").to_pylist())
-            low = Parse.of(words).levels(0, LOW_LEVELS)
+            texts = batch.column("_text").to_pylist()
+            words, edges = word_names(texts)
+            low = Parse.of(words, edges).levels(0, LOW_LEVELS)
             shared = batch.column("_names").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             alive = living(low, shared)
-            edges = words.edges
             have = [i for i in range(batch.num_rows) if alive[edges[i] : edges[i + 1]].any()]
-            high = low.take(np.flatnonzero(np.isin(low.text, have))).levels(LOW_LEVELS, HIGH_LEVELS)
-            high = high.take(np.flatnonzero(high.stop - high.start >= WINDOW))
-            at = np.searchsorted(high.text, np.arange(batch.num_rows + 1))
+            high = low.of_texts(have).levels(LOW_LEVELS, HIGH_LEVELS)
+            stops = high.stops()
+            at = np.searchsorted(high.start, high.edges)
             windows, symbols = [], []
-            for i in have:
-                offsets, joined = words.offsets(i), words.joined[i]
-                starts, stops = high.start[at[i] : at[i + 1]] - edges[i], high.stop[at[i] : at[i + 1]] - edges[i]
-                whole = [(0, int(edges[i + 1] - edges[i]))]
-                spans = sorted({*whole, *zip(starts.tolist(), stops.tolist())})
-                windows.append(spans_of(stretches(alive[edges[i] : edges[i + 1]])))
+            for i, k in enumerate(have):
+                joined, offsets = joined_words(texts[k])
+                spans = np.stack([high.start, stops], axis=1)[at[i] : at[i + 1]] - high.edges[i]
+                long = spans[spans[:, 1] - spans[:, 0] >= WINDOW].tolist()
+                windows.append(spans_of(stretches(alive[edges[k] : edges[k + 1]])))
                 symbols.append(
                     [
                         {"hash": xxhash.xxh3_128_digest(joined[offsets[a] : offsets[b] - 1]), "start": a, "stop": b}
-                        for a, b in spans
+                        for a, b in sorted({(0, len(offsets) - 1), *map(tuple, long)})
                     ]
                 )
             kept = pa.array(have, pa.int32())
@@ -286,10 +304,8 @@ def verified(alive: DataFrame, kind: str) -> DataFrame:
         for batch in slices(batches, "_text"):
             texts, settled = batch.column("_text").to_pylist(), batch.column("_settled").to_pylist()
             for i, spans in enumerate(batch.column("_windows").to_pylist()):
-                split = texts[i].encode().split()
-                joined = b" ".join(split)
-                offsets = np.concatenate([[0], np.cumsum([len(w) + 1 for w in split])]).tolist()
-                marks = covered(len(split), pairs_of(spans))
+                joined, offsets = joined_words(texts[i])
+                marks = covered(len(offsets) - 1, pairs_of(spans))
                 for start, stop in pairs_of(settled[i]):
                     marks[start : stop - WINDOW + 1] = False
                 starts = np.flatnonzero(marks).tolist()

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from pacegrid.llm import recompression
-from pacegrid.llm.recompression import WINDOW, Parse, dedup_substrings, living, words_of
+from pacegrid.llm.recompression import WINDOW, Parse, dedup_substrings, living, word_names
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -105,7 +105,7 @@ def test_equal_windows_have_equal_determined_symbols(size):
         texts = [" ".join(prose(draw, draw.randrange(30), size) + window + prose(draw, draw.randrange(30), size)) for _ in (1, 2)]
         at = [t.split() for t in texts]
         places = [next(i for i in range(len(w)) if w[i : i + WINDOW] == window) for w in at]
-        parses = [Parse.of(words_of([t])).levels(0, recompression.LOW_LEVELS) for t in texts]
+        parses = [Parse.of(*word_names([t])).levels(0, recompression.LOW_LEVELS) for t in texts]
         names = [p.name[p.determined()] for p in parses]
         shared = np.intersect1d(*names)
         for parse, place in zip(parses, places):
@@ -114,8 +114,16 @@ def test_equal_windows_have_equal_determined_symbols(size):
 
 def test_names_thin_out_with_levels():
     draw = random.Random(1)
-    parse = Parse.of(words_of([" ".join(prose(draw, 5000))]))
+    parse = Parse.of(*word_names([" ".join(prose(draw, 5000))]))
     sizes = [len(parse.levels(0, n).name) for n in (0, 4, 16)]
     assert sizes[0] == 5000 and sizes[1] < 2200 and sizes[2] < 120
     high = parse.levels(0, 16)
-    assert high.start[0] == 0 and high.stop[-1] == 5000 and (high.start[1:] == high.stop[:-1]).all()
+    assert high.start[0] == 0 and (np.diff(high.start) > 0).all()
+
+
+def test_words_are_split_and_named_alike():
+    texts = ["a b", None, "", " b\ta\x0bb ", "\x1ca \x85", "ab"]
+    names, edges = word_names(texts)
+    assert edges.tolist() == [0, 2, 2, 2, 5, 7, 8]
+    assert names[0] == names[3] and names[1] == names[2] == names[4]
+    assert len(set(names.tolist())) == 5
