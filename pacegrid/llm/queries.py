@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacegrid.llm import bpe, jaccard, license_scan, line_chunks, merkle, mixing, quality_rules, recompression, token_files, toxicity, url_filter
+from pacegrid.llm import bpe, collocations, jaccard, license_scan, line_chunks, merkle, mixing, quality_rules
+from pacegrid.llm import recompression, repair, token_files, toxicity, url_filter
 from pacegrid.llm.common import table, vocabulary
 from pacegrid.session import work_folder
 
@@ -55,7 +56,7 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = work_folder(spark, "tokens")
     documents = table(spark, folder, "documents").select("doc_id", "text")
     manifest = token_files.write_token_files(documents, files, vocabulary("byte_bpe_50k.json"))
-    found = token_files.read_token_files(manifest, files)
+    found = token_files.read_by_key(documents, manifest, files)
     return found.select("doc_id", "start", "n_tokens", token_files.crc32_of("ids").alias("ids_crc32"))
 
 
@@ -74,6 +75,43 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(documents, ranks))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversation rows with planted faults: by the hash of conversation and turn a row goes,
+    loses its text or its sentence ends, comes twice, or is said to be the user's."""
+    space = F.lit(" ")
+    key = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")))
+    roll = F.crc32(key) % 20
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    text = F.when(roll == 1, "").when(roll == 2, F.translate(text, ".!?", "")).otherwise(text)
+    times = F.when(roll == 0, 0).when(roll == 3, 2).otherwise(1)
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(roll == 4, "user").otherwise(role).alias("role"),
+        text.alias("text"),
+        F.explode(F.array_repeat(F.lit(1), times)).alias("copy"),
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    summary, turns = repair.repair(damaged(conversations))
+    found = summary.join(repair.digests(turns).withColumnRenamed("conv_id", "_id"), F.expr("conv_id <=> _id")).drop("_id")
+    every = conversations.select(F.col("conv_id").alias("_id")).distinct()
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    # Of a conversation whose rows are all gone, nothing is left to repair.
+    return every.join(found, F.expr("_id <=> conv_id"), "left").select(
+        F.col("_id").alias("conv_id"),
+        *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in numbers),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents").select("lang", "text"))
+
+
 def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     kept = recompression.dedup_substrings(documents)
@@ -95,12 +133,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_document_fingerprints,
         op9_line_dedup,
         op10_byte_bpe,
+        op11_conversation_repair,
+        op12_phrase_collocations,
         op13_substring_dedup,
     )
 }
 
 #: Op 3 in SQL: the list is joined on canonical URLs, without a filter before it. Op 13 in SQL:
-#: all windows of 50 words, without symbols.
+#: all windows of 50 words, without symbols. Op 12 in SQL: all phrases as texts.
 ORACLE: dict[str, str] = {
     "op3_url_filters": r"""
 WITH parts AS (
@@ -139,6 +179,50 @@ SELECT page_id, host, path, rule, listed,
                  WHEN 'example.com/de/' THEN 'block' WHEN 'org/fr/' THEN 'allow'
                  ELSE CASE WHEN listed THEN 'block' ELSE 'allow' END END AS verdict
 FROM ruled
+""",
+    "op12_phrase_collocations": r"""
+WITH lowered AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), pieces AS (
+  SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM lowered
+), split AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS words FROM pieces
+), starts AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM split
+), phrases AS (
+  SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase, count(*) AS f
+  FROM starts, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE i + size - 1 <= len(words)
+  GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM phrases WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, size, phrase, f, string_split(phrase, ' ') AS words FROM phrases WHERE size > 1 AND f >= 30
+), cuts AS (
+  SELECT lang, phrase, f AS a, unnest(range(1, size)) AS k, words FROM candidates
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, (2000000::HUGEINT * c.a) // (l.f + r.f) AS score
+  FROM cuts c
+  JOIN phrases l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1:c.k], ' ')
+  JOIN phrases r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[c.k + 1:], ' ')
+), lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored
+), inside AS (
+  SELECT lang, f, array_to_string(words[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, size - n + 2)) AS i
+        FROM (SELECT *, unnest(range(2, size)) AS n FROM candidates WHERE size > 2))
+), swallowed AS (
+  SELECT lang, phrase, max(f) AS most FROM inside GROUP BY ALL
+), kept AS (
+  SELECT w.lang, w.phrase, w.a, w.l, w.r, w.score
+  FROM lowest w LEFT JOIN swallowed s ON s.lang = w.lang AND s.phrase = w.phrase
+  WHERE w.place = 1 AND (s.most IS NULL OR 100 * s.most < 80 * w.a)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """,
     "op13_substring_dedup": r"""
 WITH split AS (

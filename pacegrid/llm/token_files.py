@@ -33,6 +33,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,9 +44,13 @@ MAGIC = b"PGTOKEN1"
 HEADER = struct.Struct("<8sIIQQQ")  # magic, id bytes, buckets, keys, rows, rows without a key
 KEYS_PER_BUCKET = 4
 CACHED_CHUNKS = 600_000
+#: Ids that are read at once.
+READ_IDS = 500_000
+#: Bytes of text that are cut into chunks at once: the more, the more of them repeat.
+SLICE_BYTES = 4_000_000
 #: White space other than a single blank or line feed between words, where tokens may begin
 #: elsewhere than at the blank or the line feed.
-MORE_WHITE = re.compile(r"\s (?:\s|\Z)|\s\n|\n\s")
+MORE_WHITE = re.compile(r"[^\S \n]|\s (?:\s|\Z)|\s\n|\n\s")
 
 
 def mixed(keys: np.ndarray, seed: int | np.ndarray) -> np.ndarray:
@@ -107,43 +112,72 @@ class ChunkEncoder:
 
     The pre-tokeniser begins a token at every blank or line feed that stands between other
     characters than white space. So texts are cut there; a chunk keeps its line feed, a
-    missing one stands for a blank. Texts with more white space go through whole.
+    missing one stands for a blank, and a line feed put before the text makes its first chunk
+    like any other. Chunks of a slice are told apart in Arrow; new ones are encoded as one
+    text, whose ids are cut where a blank or a line feed begins. Texts with more white space
+    go through whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def learn(self, known: dict[str, bytes], chunks: set[str], blank: str) -> None:
-        if len(known) > CACHED_CHUNKS:
-            known.clear()
-        new = list(chunks.difference(known))
-        for start in range(0, len(new), 10_000):
-            part = new[start : start + 10_000]
-            whole = [c if c[:1] == "\n" else blank + c for c in part]
-            encoded = self.tokenizer.encode_batch(whole, add_special_tokens=False)
-            known.update((c, np.array(e.ids, self.kind).tobytes()) for c, e in zip(part, encoded))
+        # The byte-level alphabet writes a blank as U+0120 and a line feed as U+010A.
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for token, i in vocabulary.items() if token[:1] in "\u0120\u010a"]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = np.zeros(0, self.kind)
+        self.ends = np.zeros(1, np.int64)
+
+    def learn(self, chunks: list[str]) -> None:
+        if len(self.known) > CACHED_CHUNKS:
+            self.forget()
+        # Alone, white space would run on into the next chunk.
+        bare = [c for c in chunks if c in ("", "\n") and c not in self.known]
+        new = [c for c in chunks if c not in self.known and c not in ("", "\n")]
+        parts, sizes = [], []
+        for start in range(0, len(new), 20_000):
+            part = new[start : start + 20_000]
+            whole = "".join(c if c[0] == "\n" else " " + c for c in part)
+            ids = np.array(self.tokenizer.encode(whole, add_special_tokens=False).ids, self.kind)
+            heads = np.flatnonzero(self.begins[ids])
+            if len(heads) != len(part):
+                raise ValueError("the tokenizer does not begin a token at every blank")
+            parts.append(ids)
+            sizes.append(np.diff(np.append(heads, len(ids))))
+        for c in bare:
+            ids = self.tokenizer.encode(c or " ", add_special_tokens=False).ids
+            parts.append(np.array(ids, self.kind))
+            sizes.append(np.array([len(ids)]))
+        if parts:
+            self.known.update(zip([*new, *bare], range(len(self.known), len(self.known) + len(new) + len(bare))))
+            self.ids = np.concatenate([self.ids, *parts])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
 
     def encode(self, batch: list[str]) -> list[bytes]:
-        parts = [None if MORE_WHITE.search(t) else t.replace("\n", " \n").split(" ") for t in batch]
-        self.learn(self.first, {p[0] for p in parts if p}, "")
-        later: set[str] = set()
-        for p in parts:
-            if p:
-                later.update(p[1:])
-        self.learn(self.later, later, " ")
-        out = []
-        for t, p in zip(batch, parts):
-            if p is None:
-                ids = self.tokenizer.encode(t, add_special_tokens=False).ids
-                out.append(np.array(ids, self.kind).tobytes())
-            else:
-                out.append(self.first[p[0]] + b"".join(map(self.later.__getitem__, p[1:])))
-        return out
+        plain = [MORE_WHITE.search(t) is None for t in batch]
+        marked = pa.array(["\n" + t.replace("\n", " \n") for t, p in zip(batch, plain) if p], pa.large_string())
+        lists = pc.split_pattern(marked, " ")
+        chunks = lists.flatten().dictionary_encode()
+        distinct = chunks.dictionary.to_pylist()
+        self.learn(distinct)
+        places = np.fromiter((self.known[c] for c in distinct), np.int64, len(distinct))
+        places = places[chunks.indices.to_numpy()] if len(places) else places
+        first, sizes = self.ends[places], np.diff(self.ends)[places]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.ids[np.repeat(first - ends[:-1], sizes) + np.arange(ends[-1])]
+        # By text, without the line feed put before it.
+        edges = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
+        found = (ids[a + 1 : b].tobytes() for a, b in zip(edges, edges[1:]))
+        return [next(found) if p else self.whole(t) for t, p in zip(batch, plain)]
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
 
 @lru_cache(2)
@@ -180,6 +214,7 @@ class Shard:
 
     def __init__(self, folder: str, number: int):
         self.files, root = file_system(folder)
+        self.number = number
         self.ids_path = f"{root}/shard-{number:05d}.ids"
         with self.files.open_input_file(f"{root}/shard-{number:05d}.idx") as f:
             raw = f.read()
@@ -208,6 +243,19 @@ class Shard:
         row = int(self.rows[slot])
         return row if self.keys[row] == key else None
 
+    def rows_of(self, keys: np.ndarray) -> np.ndarray:
+        """First row of each key by the hash and the fingerprint, -1 for a strange key."""
+        if not len(self.marks):
+            return np.full(len(keys), -1)
+        slots = slot_of(keys, self.moves[bucket_of(keys, len(self.moves))], len(self.marks))
+        rows = self.rows[slots].astype(np.int64)
+        return np.where((self.marks[slots] == fingerprint(keys)) & (self.keys[rows] == keys), rows, -1)
+
+    def ends_of(self, rows: np.ndarray) -> np.ndarray:
+        """The row after the last one with the key of each of ``rows``, its first."""
+        last = np.append(np.flatnonzero(self.keys[1:] != self.keys[:-1]) + 1, len(self.keys))
+        return last[np.searchsorted(last, rows, "right")]
+
     def read(self, start: int, stop: int) -> np.ndarray:
         """Ids of rows ``start`` to ``stop``."""
         first, last = int(self.offsets[start]), int(self.offsets[stop])
@@ -244,7 +292,7 @@ def write_token_files(
         keys: list[int | None] = []
         sizes: list[int] = []
         name, mark, payload = f"{root}/shard-{number:05d}", uuid.uuid4().hex, None
-        for batch in slices(batches, "_text", 1_000_000):
+        for batch in slices(batches, "_text", SLICE_BYTES):
             if payload is None:
                 payload = files.open_output_stream(f"{name}.{mark}.ids")
             for key_, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts(batch, "_text"))):
@@ -272,40 +320,100 @@ def write_token_files(
     return documents.sparkSession.createDataFrame(found, lines.schema)
 
 
-def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
-    """Every row of the shards from their files: ``doc_id, start, n_tokens, ids`` where
-    ``ids`` are little-endian unsigned 32-bit and ``start`` counts the ids before them."""
-    spark = manifest.sparkSession
-    folder = qualified(spark, folder)
+_FOUND = "doc_id long, start long, n_tokens long, ids binary"
+
+
+def _rows(shard: Shard, place: np.ndarray, start: int) -> Iterator[pa.RecordBatch]:
+    """The given rows of a shard, in bounded batches; neighbours are read at once. ``start``
+    ids lie before the shard."""
+    offsets = shard.offsets.astype(np.int64)
+    breaks = np.append(np.flatnonzero(np.diff(place) != 1) + 1, len(place))
+    at = 0
+    while at < len(place):
+        room = int(np.searchsorted(offsets, offsets[place[at]] + READ_IDS, "right")) - 1 - int(place[at])
+        stop = min(int(breaks[np.searchsorted(breaks, at, "right")]), at + max(room, 1))
+        first, last = int(place[at]), int(place[stop - 1]) + 1
+        ids = shard.read(first, last).astype("<u4")
+        cuts = (offsets[first : last + 1] - offsets[first]).tolist()
+        names = [None if r < shard.nulls else int(shard.keys[r]) for r in range(first, last)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(names, pa.int64()),
+                pa.array(offsets[first:last] + start),
+                pa.array(np.diff(offsets[first : last + 1])),
+                pa.array([ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            ],
+            ["doc_id", "start", "n_tokens", "ids"],
+        )
+        at = stop
+
+
+def _lines(manifest: DataFrame) -> tuple[list, dict[int, int]]:
+    """The manifest's lines, one for each task that wrote, and the ids before each shard."""
     lines = sorted(manifest.collect(), key=lambda x: x["shard"])
-    before = [0, *accumulate(x["n_ids"] for x in lines)]
-    plan = [(x["shard"], b) for x, b in zip(lines, before)]
-    shards = spark.createDataFrame(plan, "shard int, before long").repartition(max(1, len(plan)))
+    return lines, dict(zip((x["shard"] for x in lines), [0, *accumulate(x["n_ids"] for x in lines)]))
+
+
+def _of_shards(spark: SparkSession, folder: str, numbers: list[int], before: dict[int, int], keyless: bool) -> DataFrame:
+    """All rows of some shards in order, or those without a key."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, start in zip(*(c.to_pylist() for c in batch.columns)):
+            for number in batch.column(0).to_pylist():
                 shard = Shard(folder, number)
-                offsets = shard.offsets.astype(np.int64)
-                row, rows = 0, len(shard.keys)
-                while row < rows:
-                    stop = int(np.searchsorted(offsets, offsets[row] + 500_000, "right")) - 1
-                    stop = min(rows, max(row + 1, stop))
-                    ids = shard.read(row, stop).astype("<u4")
-                    cuts = (offsets[row : stop + 1] - offsets[row]).tolist()
-                    keys = [None if r < shard.nulls else int(shard.keys[r]) for r in range(row, stop)]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(keys, pa.int64()),
-                            pa.array(offsets[row:stop] + start),
-                            pa.array(np.diff(offsets[row : stop + 1])),
-                            pa.array([ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
-                        ],
-                        ["doc_id", "start", "n_tokens", "ids"],
-                    )
-                    row = stop
-
-    return map_arrow(shards, run, "doc_id long, start long, n_tokens long, ids binary")
+                yield from _rows(shard, np.arange(shard.nulls if keyless else len(shard.keys)), before[number])
+
+    shards = spark.createDataFrame([(n,) for n in numbers], "shard int").repartition(max(1, len(numbers)))
+    return map_arrow(shards, run, _FOUND)
+
+
+def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
+    """Every row of the shards in order: ``doc_id, start, n_tokens, ids`` where ``ids`` are
+    little-endian unsigned 32-bit and ``start`` counts the ids before them."""
+    spark = manifest.sparkSession
+    lines, before = _lines(manifest)
+    return _of_shards(spark, qualified(spark, folder), [x["shard"] for x in lines], before, keyless=False)
+
+
+def read_by_key(keys: DataFrame, manifest: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
+    """The rows of the asked keys from the shards, as ``read_token_files`` gives them.
+
+    Each distinct key is looked up by the hash, which gives its row, and the row's offset the
+    ids; a null asks for the rows without a key. A key that no shard holds is an error.
+    """
+    spark = manifest.sparkSession
+    folder = qualified(spark, folder)
+    lines, before = _lines(manifest)
+    keyed = [x for x in lines if x["most"] is not None]
+    # Rows without a key come before all others, so that shard's range has no lower end.
+    least = np.array([np.iinfo(np.int64).min if x["least"] is None else x["least"] for x in keyed], np.int64)
+
+    def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = None
+        for batch in batches:
+            asked = batch.column(0).to_numpy()
+            own = np.searchsorted(least, asked, "right") - 1
+            if len(own) and own.min() < 0:
+                raise KeyError(f"no shard holds {asked[own.argmin()]}")
+            for i in np.unique(own).tolist():
+                if shard is None or shard.number != keyed[i]["shard"]:
+                    shard = Shard(folder, keyed[i]["shard"])
+                some = asked[own == i]
+                first = shard.rows_of(some)
+                if (first < 0).any():
+                    raise KeyError(f"no shard holds {some[first.argmin()]}")
+                first = np.sort(first)
+                sizes = shard.ends_of(first) - first
+                every = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+                yield from _rows(shard, every, before[shard.number])
+
+    own = keys.select(keys[key].cast("long").alias("doc_id"))
+    asked = own.where("doc_id IS NOT NULL").distinct().repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    found = map_arrow(asked, look, _FOUND)
+    empty = [x["shard"] for x in lines if x["least"] is None]
+    if not empty or own.where("doc_id IS NULL").isEmpty():
+        return found
+    return found.unionByName(_of_shards(spark, folder, empty, before, keyless=True))
 
 
 def crc32_of(ids: str = "ids"):

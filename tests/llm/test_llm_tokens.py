@@ -141,10 +141,36 @@ def test_token_files(spark, tmp_path):
     assert token_files.look_up(spark, str(tmp_path), manifest, 6) == []
 
 
+def test_token_files_by_key(spark, tmp_path):
+    batch = SPECIAL + random_texts(200, 6)
+    rows = [(i * 3 - 40, t) for i, t in enumerate(batch)] + [(None, "no key"), (None, "x"), (5, "again"), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    manifest = token_files.write_token_files(df, str(tmp_path), JSON)
+    every = sorted(token_files.read_token_files(manifest, str(tmp_path)).collect(), key=lambda r: r["start"])
+    found = token_files.read_by_key(df, manifest, str(tmp_path)).collect()
+    assert sorted(found, key=lambda r: r["start"]) == every and len(every) == len(rows)
+    some = spark.createDataFrame([(5,), (-40,), (5,)], "doc_id long")
+    asked = token_files.read_by_key(some, manifest, str(tmp_path)).collect()
+    assert sorted(asked, key=lambda r: r["start"]) == [r for r in every if r["doc_id"] in (5, -40)]
+    strange = spark.createDataFrame([(-39,)], "doc_id long")
+    with pytest.raises(Exception, match="no shard holds -39"):
+        token_files.read_by_key(strange, manifest, str(tmp_path)).collect()
+    # Damage to the hash part of an index is found, though keys and offsets are whole.
+    path = next(p for p in sorted(tmp_path.glob("*.idx")))
+    raw = bytearray(path.read_bytes())
+    _, _, buckets, keys, _, _ = token_files.HEADER.unpack_from(raw)
+    at = token_files.HEADER.size + 4 * buckets
+    raw[at : at + 4 * keys] = bytes(b ^ 255 for b in raw[at : at + 4 * keys])
+    path.write_bytes(raw)
+    with pytest.raises(Exception, match="no shard holds"):
+        token_files.read_by_key(df, manifest, str(tmp_path)).collect()
+
+
 def test_token_files_of_an_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "doc_id long, text string")
     manifest = token_files.write_token_files(df, str(tmp_path), JSON)
     assert token_files.read_token_files(manifest, str(tmp_path)).count() == 0
+    assert token_files.read_by_key(df, manifest, str(tmp_path)).count() == 0
 
 
 def test_roots_and_branches():
