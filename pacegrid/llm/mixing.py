@@ -3,14 +3,18 @@
 A naive Bayes classifier over hashed words, counted from a table of labelled documents and
 calibrated on each of them with the others' counts, gives every document a posterior over
 domains. Document rates r ≥ 0 are then fitted so that the expected tokens of
-each domain, the sum of rate × tokens × posterior, match the targets: of all rates that do,
-those nearest to one common rate.
-
-Such rates are the common rate plus one multiplier a domain times the posterior, kept between
-the bounds. The multipliers, a few numbers, are found by Newton steps with a line search on
-the dual, one aggregate a step, until the totals are met. Targets that no rates meet are
-approached by least squares, logged, and told by ``met`` and ``reached``. All of it is
-DataFrame expressions.
+each domain, the sum of rate × tokens × posterior, match the targets, by least squares: the
+squared misses of the domains plus a small weight times the squared distance of the rates from
+one common rate. Misses are weighed by the inverse of the sums of products of posteriors, so a
+rare domain counts for as much as a common one.
+
+The fit is a projected gradient: a step takes from every rate the weighed misses times its
+posterior and puts the rate back between the bounds. A step is one aggregate over all
+documents, which gives the misses; its length follows from the last step (Barzilai and
+Borwein). A rate is the outcome of all steps, an expression over the posterior, so nothing is
+stored by document. Targets that no rates meet are approached, logged, and told by ``met`` and
+``reached``; a bound on rates keeps texts next to nothing of a missing domain from being taken
+very often. All of it is DataFrame expressions.
 
 Defined results: null and empty texts have no tokens and the prior as posterior; rows are
 rated one by one; a row without ``doc_id`` is rated like any other; without labels all
@@ -42,12 +46,16 @@ POWERS = (0.0, 0.5, 1.0)
 RIDGE = 1.0
 #: Total tokens wanted, over the least total that needs no document to be left out.
 HEADROOM = 1.05
-#: Weight of the multipliers' own size: it only decides where no rates meet the targets.
+#: Weight of a rate's distance from the common one, against the domains' weighed misses: both
+#: are squares in shares of all tokens. It decides which of the rates that meet the targets are
+#: taken, and bounds the rates where none do.
 PULL = 1e-6
-#: The same where no rates do, whatever the domains' sizes.
-MISSED_PULL = 1e-2
-#: Newton steps at most; a fit that misses its targets after them says so.
-STEPS = 30
+#: Steps at most; a fit that misses its targets after them says so.
+STEPS = 40
+#: A step may raise the sum of squares, but not above the greatest of so many last ones.
+RECENT = 8
+#: Steps end too when rates no longer move, as a share of the common rate.
+STILL = 1e-7
 #: With a floor, the total grows by this factor until the targets are met, so many times at most.
 GROWTH, GROWTHS = 1.5, 8
 #: Steps end when every domain is this near to its target, as a share of all tokens.
@@ -128,35 +136,56 @@ def learn(
     # Bounded by ``rows``: one text of each id.
     texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     found = texts.select("doc_id", "domain", features(F.col("text"))["at"].alias("at"))
-    found = found.groupBy("doc_id", "domain").agg(F.min("at").alias("at")).toArrow()
-    found = found.sort_by("doc_id")  # the order in which rows come must not matter
-    own = np.array([names.index(n) for n in found["domain"].to_pylist()], dtype=np.int64)
-    lists = found["at"].combine_chunks()
-    sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-    return trained(names, own, lists.flatten().to_numpy().astype(np.int64), sizes)
+    found = found.groupBy("doc_id", "domain").agg(F.min("at").alias("at"))
+    found = written(found.withColumn("own", F.array_position(F.lit(names), F.col("domain")) - 1), "mixing-labelled")
+    return trained(names, found)
 
 
-def trained(names: list[str], own: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> Classifier:
+def trained(names: list[str], found: DataFrame) -> Classifier:
     """Weights by counts, and what their sums tell about the domain by how they came out for
-    each labelled row with weights counted from the other rows."""
-    n, count = len(own), np.bincount(own, minlength=len(names))
+    each labelled row (``doc_id, own, at``) with weights counted from the other rows.
+
+    Features are counted and summed by Spark; the driver gets a row for each feature and a few
+    numbers for each labelled row, however long the texts are.
+    """
+    domains = range(len(names))
+    count = np.zeros(len(names), np.int64)
+    for own, times in found.groupBy("own").count().collect():
+        count[own] = times
+    n = int(count.sum())
     prior = [(int(c) + 1) / (n + len(names)) for c in count]
-    row = np.repeat(np.arange(n), sizes)
-    by = np.stack([np.bincount(at[own[row] == d], minlength=FEATURES) for d in range(len(names))])
+    by = np.zeros((len(names), FEATURES), np.int64)
+    hits = found.select("own", F.explode("at").alias("at")).groupBy("at")
+    counted = hits.agg(*(F.count_if(F.col("own") == d).alias(f"n{d}") for d in domains)).toArrow()
+    for d in domains:
+        by[d][counted["at"].to_numpy()] = counted[f"n{d}"].to_numpy()
     whole = by.sum(axis=0)
 
     def weight(here, texts, everywhere, of):
         # Presence against what the feature's share of all texts lets expect.
         return np.log((here + PRIOR_TEXTS) / (texts * everywhere / max(of, 1) + PRIOR_TEXTS))
 
-    weights = [np.round(weight(by[d], count[d], whole, n), 4).tolist() for d in range(len(names))]
+    weights = [np.round(weight(by[d], count[d], whole, n), 4).tolist() for d in domains]
     if n < 2 or (count > 0).sum() < 2:
         return Classifier(names, prior, weights)
-    sums = []
-    for d in range(len(names)):
-        less = (own[row] == d).astype(np.int64)
-        others = weight(by[d][at] - less, count[d] - less, whole[at] - 1, n - 1)
-        sums.append(np.bincount(row, others, n))
+
+    def summed(values: Column) -> Column:
+        return F.aggregate("at", F.lit(0.0), lambda a, f: a + F.get(values, f))
+
+    def total(d: int) -> Column:
+        """The sum of a row's weights for a domain, without the row's own counts."""
+        cases = []
+        for less in (1, 0):
+            here = np.maximum(by[d] - less, 0)
+            values = numbers(np.round(weight(here, count[d] - less, np.maximum(whole - 1, 0), n - 1), 6).tolist())
+            cases.append(summed(values))
+        return F.when(F.col("own") == d, cases[0]).otherwise(cases[1]).alias(f"s{d}")
+
+    # Bounded by the labelled rows; the order in which they come must not matter.
+    rows = found.select("doc_id", "own", F.size("at").alias("size"), *(total(d) for d in domains)).toArrow()
+    rows = rows.sort_by("doc_id")
+    own, sizes = rows["own"].to_numpy(), rows["size"].to_numpy()
+    sums = [rows[f"s{d}"].to_numpy() for d in domains]
     best = None
     for power in POWERS:
         given = np.stack([s / np.maximum(sizes, 1) ** power for s in sums] + [np.log1p(sizes), np.ones(n)], axis=1)
@@ -210,24 +239,22 @@ def calibrated(given: np.ndarray, own: np.ndarray, classes: int, prior: list[flo
 
 
 def rate_of(
-    posterior: Column, history: list[list[float]], start: float, pull: float, step: float,
+    posterior: Column, history: list[list[float]], start: float, pull: float, step: float | list[float],
     bounds: tuple[float, float] = FREE
 ) -> Column:
-    """The rate after all steps so far, each projected onto the rates between ``bounds``."""
-    floor, ceiling = bounds
-    rate = F.lit(min(max(start, floor), ceiling))
-    if not history:
-        return rate
-    domains = len(history[0])
-    flat = numbers([x for row in history for x in row])
-
-    def next_rate(r: Column, k: Column) -> Column:
-        slope = pull * (r - start)
-        for d in range(domains):
-            slope = slope + F.get(posterior, F.lit(d)) * F.get(flat, k * domains + d)
-        return F.least(F.lit(ceiling), F.greatest(F.lit(floor), r - step * slope))
+    """The rate after all steps so far, each projected onto the rates between ``bounds``.
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(len(history) - 1)), rate, next_rate)
+    A step takes ``step`` times the gradient away: the misses of all domains by the posterior,
+    and the pull towards ``start``.
+    """
+    lengths = step if isinstance(step, list) else [step] * len(history)
+    rate = _between(F.lit(float(start)), bounds)
+    for misses, length in zip(history, lengths):
+        moved = rate * (1.0 - length * pull) + length * pull * start
+        for d, miss in enumerate(misses):
+            moved = moved - F.get(posterior, F.lit(d)) * (length * miss)
+        rate = _between(moved, bounds)
+    return rate
 
 
 @dataclass
@@ -237,7 +264,7 @@ class Mix:
     classifier: Classifier
     history: list[list[float]]
     start: float
-    step: float
+    step: float | list[float]
     targets: list[float]
     bounds: tuple[float, float] = FREE
     #: Expected tokens of each domain, and whether all are as near to the targets as ``CLOSE``.
@@ -310,46 +337,62 @@ def solve(
     wanted = [targets[n] / whole for n in model.domains]
     least = HEADROOM * max(s / w for s, w in zip(share, wanted) if w)
 
-    def at(multipliers: np.ndarray, start: float, bounds: tuple[float, float]) -> tuple[np.ndarray, np.ndarray, float]:
-        """Domain totals, their slopes and the dual's value, as shares of all tokens: one pass."""
-        z, r, t = F.col("_z"), F.col("_r"), F.col("t")
-        rates = data.withColumn("_z", _plane(multipliers, start)).withColumn("_r", _between(F.col("_z"), bounds))
-        loose = F.when(z == r, t).otherwise(0.0)
-        row = rates.agg(
-            *(F.sum(r * t * F.col(f"p{d}")) for d in domains),
-            *(F.sum(loose * F.col(f"p{a}") * F.col(f"p{b}")) for a, b in pairs),
-            F.sum(t * (r * z - r * r / 2)),
-        ).first()
-        slopes = np.zeros((len(domains), len(domains)))
-        for i, (a, b) in enumerate(pairs):
-            slopes[a, b] = slopes[b, a] = row[len(domains) + i] / total
-        return np.array(row[: len(domains)]) / total, slopes, row[-1] / total
-
-    ridge = PULL * np.array([max(gram[d, d], 1e-12) for d in domains])
-
-    def fitted(start: float, bounds: tuple[float, float], ridge: np.ndarray = ridge) -> Mix:
+    bends = np.zeros((len(domains), len(domains)))
+    for a, b in pairs:
+        bends[a, b] = bends[b, a] = gram[a, b]
+    weigh = np.linalg.inv(bends + PULL * np.eye(len(domains)))
+
+    def fitted(start: float, bounds: tuple[float, float]) -> Mix:
+        """Projected gradient steps with the lengths of Barzilai and Borwein."""
         goal = start * np.array(wanted)
-        x = np.zeros(len(domains))
-        now, slopes, value = at(x, start, bounds)
-        for _ in range(STEPS):
-            slope = now - goal + ridge * x
-            if np.abs(now - goal).max() < CLOSE * start or np.abs(slope).max() < CLOSE**2 * start:
+        posterior, t = F.array(*(F.col(f"p{d}") for d in domains)), F.col("t")
+
+        def squares(misses: np.ndarray, far: float) -> float:
+            return (misses @ weigh @ misses + PULL * far) / 2
+
+        def at(history: list, lengths: list) -> tuple[np.ndarray, float, float]:
+            """Domain totals at the rates after some steps, how far these are from the start
+            and how far the last step went, in squares, as shares of all tokens: one pass."""
+            before = data.withColumn("_b", rate_of(posterior, history[:-1], start, PULL, lengths[:-1], bounds))
+            last = F.col("_b") * (1.0 - lengths[-1] * PULL) + lengths[-1] * PULL * start if history else F.col("_b")
+            for d in domains if history else ():
+                last = last - F.col(f"p{d}") * (lengths[-1] * history[-1][d])
+            rates = before.withColumn("_r", _between(last, bounds))
+            r = F.col("_r")
+            row = rates.agg(
+                *(F.sum(r * t * F.col(f"p{d}")) for d in domains),
+                F.sum(t * (r - start) * (r - start)), F.sum(t * (r - F.col("_b")) * (r - F.col("_b"))),
+            ).first()
+            return np.array(row[: len(domains)]) / total, row[-2] / total, row[-1] / total
+
+        history: list[list[float]] = []
+        lengths: list[float] = []
+        now, far, _ = at(history, lengths)
+        values = [squares(now - goal, far)]
+        length = 1.0  # misses weighed as they are bend the squares by 1 at most
+        for turn in range(STEPS):
+            misses = now - goal
+            if np.abs(misses).max() < CLOSE * start:
                 break
-            move = -np.linalg.solve(slopes + np.diag(ridge), slope)
-            height = value - x @ goal + ridge @ x**2 / 2
-            length = 1.0
-            while length > 1e-4:
-                y = x + length * move
-                now_y, slopes_y, value_y = at(y, start, bounds)
-                if value_y - y @ goal + ridge @ y**2 / 2 <= height + 1e-4 * length * (slope @ move):
-                    break
-                length /= 2
-            else:
+            tried = [*history, [float(m) for m in weigh @ misses]], [*lengths, float(length)]
+            then, far, moved = at(*tried)
+            value = squares(then - goal, far)
+            if value > max(values[-RECENT:]):
+                length /= 4
+                continue
+            (history, lengths), change = tried, then - now
+            now = then
+            values.append(value)
+            if moved <= (STILL * start) ** 2:
                 break
-            x, now, slopes, value = y, now_y, slopes_y, value_y
+            # Long and short lengths in turn.
+            slant, bent = change @ weigh @ change, weigh @ change
+            along = slant + PULL * moved
+            across = bent @ bends @ bent + 2 * PULL * slant + PULL**2 * moved
+            length = min(max(moved / along if turn % 3 else along / across, 0.5), 1.0 / PULL)
         met = bool(np.abs(now - goal).max() < CLOSE * start)
         reached = [float(n) * total for n in now]
-        return Mix(model, [[-float(v) for v in x]], start, 1.0, [float(g) * total for g in goal], bounds, reached, met)
+        return Mix(model, history, start, lengths, [float(g) * total for g in goal], bounds, reached, met)
 
     mix = fitted(least, bounds)
     # A floor may need a larger total, but none helps where free rates miss the targets too.
@@ -359,20 +402,10 @@ def solve(
             if mix.met:
                 break
     if not mix.met:
-        # Without a stronger pull, texts next to nothing of a missing domain would be taken
-        # millions of times: rates are bounded by the misses over the pull.
-        mix = fitted(least, bounds, np.full(len(domains), MISSED_PULL))
         LOG.warning("mixing: targets %s not met, reached %s", dict(zip(model.domains, wanted)), mix.shares())
     return mix
 
 
-def _plane(multipliers, start: float) -> Column:
-    z = F.lit(float(start))
-    for d, m in enumerate(multipliers):
-        z = z + F.lit(float(m)) * F.col(f"p{d}")
-    return z
-
-
 def _between(z: Column, bounds: tuple[float, float]) -> Column:
     return F.least(F.lit(float(bounds[1])), F.greatest(F.lit(float(bounds[0])), z))
 
