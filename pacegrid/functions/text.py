@@ -72,8 +72,13 @@ def nested_id(literal: Column) -> Column:
         )
 
     tokens = F.regexp_extract_all(literal, F.lit(_LITERAL_TOKEN), 0)
+    # Without double quotes and escapes, every single quote bounds a text, and the words below
+    # may be replaced inside texts too, as those are not looked at.
+    plain = ~F.contains(literal, F.lit('"')) & ~F.contains(literal, F.lit("\\"))
+    quick = F.regexp_replace(F.translate(literal, "'", '"'), r"\b(?:None|True|False)\b", "null")
+    text = F.when(plain, quick).otherwise(F.array_join(F.transform(tokens, as_json), " "))
     # As a list of one, so that text behind the dict makes it malformed.
-    text = F.concat(F.lit("["), F.array_join(F.transform(tokens, as_json), " "), F.lit("]"))
+    text = F.concat(F.lit("["), text, F.lit("]"))
     found = F.from_json(text, "array<struct<id: bigint>>", {"allowUnquotedControlChars": "true"})
     return F.when(literal.rlike(r"^\s*\{") & (F.size(found) == 1), F.get(found, 0)["id"])
 

@@ -1,4 +1,7 @@
-"""The layered pipeline: silver enrichment of new activities and the gold tables."""
+"""The layered pipeline: raw files to silver, enrichment of new activities, the gold tables.
+
+Each step is a load of the store below ``root``; ``run`` does all steps up to silver in one.
+"""
 
 from __future__ import annotations
 
@@ -9,36 +12,119 @@ from pyspark.sql import functions as F
 
 from pacegrid import schema
 from pacegrid.operators import calendar, forecast, streams, trend
+from pacegrid.operators.dedupe import dedupe_on
+from pacegrid.operators.joins import salted_join
 from pacegrid.sources import tables
 from pacegrid.sources.clean import clean_profiles
-from pacegrid.sources.files import conform, read_keys
+from pacegrid.sources.files import conform
+from pacegrid.sources.layers import load_layers
+from pacegrid.sources.store import BUCKET, LOAD, Load, Store
+from pacegrid.sources.tables import bucket_of
+from pacegrid.streaming import ingest
+
+
+#: Summaries as they wait for a stream, and activities whose points wait for a summary.
+WAITING = schema.columns(
+    "activity_id bigint, activity_type string, athlete_id bigint, athlete_name string, "
+    "date date, start_time_utc timestamp, duration_sec int, distance_km double, "
+    "elev_gain_m double, avg_pace_sec_km double, source string"
+)
+UNCLAIMED = schema.columns("activity_id bigint, load string, bucket int")
 
 
 def silver(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return tables.read_table(spark, f"{root}/silver/{table}", schema.SILVER[table])
+    return Store(spark, root).read(f"silver/{table}", schema.SILVER[table])
 
 
 def refresh_athletes(profiles: DataFrame, root: str) -> None:
     """Load all athlete profiles anew; they may change at any time."""
-    tables.load_layers(clean_profiles(profiles), root, "Athlete")
+    load = Store(profiles.sparkSession, root).load()
+    load_layers(load, clean_profiles(profiles), "Athlete")
+    load.commit()
 
 
-def enrich_new_activities(spark: SparkSession, root: str, summaries: DataFrame) -> None:
-    """Metrics and splits of the activities that silver does not have yet.
+def new_summaries(load: Load, summaries: DataFrame) -> DataFrame:
+    """One row of each activity that silver does not have yet."""
+    rows = conform(summaries, WAITING).where("activity_id IS NOT NULL")
+    rows = load.staged(dedupe_on(rows, ["activity_id"]))
+    # The keys of touched buckets alone are read.
+    touched = [r.b for r in rows.select(bucket_of(["activity_id"], load.store.buckets).alias("b")).distinct().collect()]
+    done = load.read("silver/Activities", schema.SILVER["Activities"], buckets=touched).select("activity_id")
+    return rows.join(done, "activity_id", "left_anti")
+
 
-    Activities is written last: if a step before it fails, the next run still sees the
-    activity as new, and the insert-only loads skip what was already written.
+def points_to_enrich(load: Load, candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Points of the candidates that came with loads since the last enrichment or wait from
+    earlier ones, and what waits after this: activities with points but no summary.
+
+    Earlier loads are read only where they hold points that waited for a candidate.
     """
-    done = read_keys(spark, f"{root}/silver/Activities", "activity_id")
-    fresh = tables.new_rows(summaries, done, "activity_id")
-    points = tables.new_rows(silver(spark, root, "RunStream"), done, "activity_id")
-    tables.load_layers(streams.km_splits(points), root, "RunSplitKilometer")
-    enriched = streams.enrich_activities(fresh, streams.activity_metrics(points))
-    tables.load_layers(enriched, root, "Activities")
+    ids = candidates.select("activity_id").distinct()
+    new = load.loads_of("silver/RunStream", load.state["marks"].get("enriched", 0))
+    stream = schema.SILVER["RunStream"]
+    points = load.read("silver/RunStream", stream, loads=new)
+    places = load.read("silver/RunStream", stream, loads=new, marked=True)
+    places = places.select("activity_id", F.col(LOAD).alias("load"), F.col(BUCKET).alias("bucket")).distinct()
+    unclaimed = load.read("silver/Unclaimed", UNCLAIMED)
+    claimed = unclaimed.join(ids, "activity_id", "left_semi").select("load", "bucket").distinct().collect()
+    if claimed:
+        earlier = load.read(
+            "silver/RunStream",
+            stream,
+            loads=sorted({r.load for r in claimed}),
+            buckets=sorted({r.bucket for r in claimed}),
+        )
+        points = points.unionByName(earlier)
+    chosen = salted_join(points, ids, "activity_id", "left_semi", ["time_s"])
+    return chosen, unclaimed.unionByName(places).join(ids, "activity_id", "left_anti")
+
+
+def enrich(load: Load, summaries: DataFrame) -> None:
+    """Metrics and splits of the activities that silver does not have yet, and of those it has
+    whose stream has come since.
+
+    A summary without a stream is loaded without metrics and waits; points without a summary
+    wait too. So a run reads the points that came since the last one, and of earlier ones
+    those that were waited for.
+    """
+    waiting = load.staged(load.read("silver/Waiting", WAITING))
+    fresh = load.staged(new_summaries(load, summaries))
+    points, unclaimed = points_to_enrich(load, fresh.unionByName(waiting))
+    points, unclaimed = load.staged(points), load.staged(unclaimed)
+    found = load.staged(points.select("activity_id").distinct())
+    load_layers(load, streams.km_splits(points), "RunSplitKilometer")
+    ready = fresh.unionByName(waiting.join(found, "activity_id", "left_semi"))
+    load_layers(load, streams.enrich_activities(ready, streams.activity_metrics(points)), "Activities")
+    left = fresh.unionByName(waiting).join(found, "activity_id", "left_anti")
+    load.refresh("silver/Waiting", left, ["activity_id"])
+    load.refresh("silver/Unclaimed", unclaimed, ["activity_id"])
+    load.state["marks"]["enriched"] = load.state["loads"]
+
+
+def enrich_new_activities(spark: SparkSession, root: str, summaries: DataFrame) -> None:
+    """``enrich`` as a load of its own."""
+    load = Store(spark, root).load()
+    enrich(load, summaries)
+    load.commit()
+
+
+def run(spark: SparkSession, folder: str, root: str, summaries: DataFrame, profiles: DataFrame) -> None:
+    """New raw files, summaries and profiles in one load: all six tables change together."""
+
+    def then(load: Load) -> None:
+        load_layers(load, clean_profiles(profiles), "Athlete")
+        enrich(load, summaries)
+
+    if not ingest.ingest_folder(spark, folder, root, then):
+        load = Store(spark, root).load()
+        then(load)
+        load.commit()
 
 
 def build_gold(spark: SparkSession, root: str, as_of: dt.date, races: DataFrame) -> None:
-    """Rebuild the calendar, start points and labels; replace trend and forecast groups."""
+    """Rebuild the calendar, start points and labels; replace trend and forecast groups; all in
+    one load."""
+    load = Store(spark, root).load()
     activities = silver(spark, root, "Activities")
     efforts = silver(spark, root, "RunBest")
     rebuilt = {
@@ -49,19 +135,11 @@ def build_gold(spark: SparkSession, root: str, as_of: dt.date, races: DataFrame)
         "dim_distance_label": tables.seed_labels(spark),
     }
     for name, df in rebuilt.items():
-        tables.refresh_table(conform(df, schema.GOLD[name]), f"{root}/gold/{name}")
+        load.refresh(f"gold/{name}", conform(df, schema.GOLD[name]), [schema.GOLD[name].names[0]])
     fits = trend.pb_trend(efforts, as_of)
-    tables.replace_groups(
-        conform(fits, schema.PB_PREDICTION),
-        f"{root}/gold/PBPrediction",
-        ["athlete_id", "distance_label"],
-    )
-    fits = tables.read_table(spark, f"{root}/gold/PBPrediction", schema.PB_PREDICTION).where(
-        F.col("prediction_date") == F.lit(as_of)
-    )
+    load.replace("gold/PBPrediction", conform(fits, schema.PB_PREDICTION), ["athlete_id", "distance_label"])
+    fits = load.read("gold/PBPrediction", schema.PB_PREDICTION).where(F.col("prediction_date") == F.lit(as_of))
     backtest = forecast.race_backtest(races, efforts, activities, trend=fits)
-    tables.replace_groups(
-        conform(backtest, schema.RACE_FORECAST),
-        f"{root}/gold/RaceForecast",
-        ["athlete_id", "target_distance_label", "method"],
-    )
+    keys = ["athlete_id", "target_distance_label", "method"]
+    load.replace("gold/RaceForecast", conform(backtest, schema.RACE_FORECAST), keys)
+    load.commit()

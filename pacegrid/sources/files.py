@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import csv
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,11 +48,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*columns)
 
 
+#: Different headers that one read may meet.
+MAX_LAYOUTS = 1000
 # A separator that no raw file holds: a line is read as one value, with its encoding.
 _NO_SEPARATOR = "\u0001"
 
 
-def raw_lines(reader, path: str, encoding: str = "UTF-8") -> DataFrame:
+def raw_lines(reader, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
     """``line, path, start, file_name`` of every line; ``reader`` is ``spark.read`` or
     ``spark.readStream`` with its options."""
     lines = reader.schema("line string").option("sep", _NO_SEPARATOR).option("quote", "")
@@ -62,30 +66,54 @@ def raw_lines(reader, path: str, encoding: str = "UTF-8") -> DataFrame:
     )
 
 
-def parse_by_header(lines: DataFrame, keep: list[str], escape: str = "\\") -> DataFrame:
-    """Lines of files with different headers as columns of text, matched by name.
+def as_pattern(path: str) -> str:
+    """A path whose characters mean themselves where patterns are read."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
-    Every file's first line is its header; a later line equal to it is left out too. Files of
-    one layout need no join. Otherwise each line meets its file's header, and adaptive
-    execution splits a file that holds many lines. The driver sees distinct headers only,
-    which are as many as there are layouts.
-    """
-    spark = lines.sparkSession
+
+def headers_of(lines: DataFrame) -> DataFrame:
+    """``path, header`` of every file with a line: its first one."""
     first = lines.where("start = 0").select("path", "line", F.monotonically_increasing_id().alias("at"))
     headers = first.groupBy("path").agg(F.min_by("line", "at").alias("header"))
-    known = [r.header for r in headers.select("header").distinct().collect()]
-    if not known:
-        return spark.createDataFrame([], lines.select(*keep).schema)
-    one = len(known) == 1
-    placed = lines.withColumn("header", F.lit(known[0])) if one else lines.join(headers, "path")
+    return headers.withColumn("header", F.regexp_replace("header", "^\ufeff", ""))
+
+
+def read_records(
+    spark: SparkSession, lines: DataFrame, schema: T.StructType, encoding: str = "UTF-8", escape: str = "\\"
+) -> DataFrame:
+    """Records of files with different headers: the columns of ``schema`` that a file's header
+    names, as text and matched by name, and ``file_name``.
+
+    Files are grouped by header, and those of one header are read as records, so that quoted
+    values may hold line breaks. A record equal to its header is left out. Files whose header
+    names no column of ``schema`` are left out too, so the driver sees layouts of declared
+    columns, and refuses more than ``MAX_LAYOUTS``; and the paths of the files, as Spark's own
+    listing does.
+    """
+    names = F.split(F.regexp_replace("header", '"', ""), ",")
+    known = headers_of(lines).where(F.arrays_overlap(names, F.lit(schema.names)))
+    layouts = [row.header for row in known.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()]
+    if len(layouts) > MAX_LAYOUTS:
+        raise ValueError(f"more than {MAX_LAYOUTS} different headers")
+    declared = [n for n in schema.names if n != "file_name"]
+    if not layouts:
+        return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in [*declared, "file_name"]]))
+    paths: dict[str, list[str]] = {}
+    for row in known.collect():
+        paths.setdefault(row.header, []).append(row.path)
     frames = []
-    for header in sorted(known):
-        names = next(csv.reader([header.lstrip("\ufeff")]))
-        at = {n: i for i, n in reversed(list(enumerate(names))) if n not in keep}
-        shape = ", ".join(f"c{i} string" for i in range(len(names)))
-        rows = placed.where((F.col("header") == header) & (F.col("line") != header))
-        parsed = rows.withColumn("_row", F.from_csv("line", shape, {"quote": '"', "escape": escape}))
-        frames.append(parsed.select(*keep, *(F.col(f"_row.c{i}").alias(n) for n, i in at.items())))
+    for header in sorted(layouts):
+        names = next(csv.reader([header]))
+        at = {n: i for i, n in reversed(list(enumerate(names))) if n in declared}
+        shape = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        reader = spark.read.schema(shape).option("header", True).option("multiLine", True).option("encoding", encoding)
+        # A path of a file listing is a URL; its blanks and signs are written out in it.
+        rows = reader.option("escape", escape).csv([as_pattern(unquote(p)) for p in sorted(paths[header])])
+        same = F.lit(True)
+        for i, n in enumerate(names):
+            same = same & F.col(f"c{i}").eqNullSafe(F.lit(n or None))
+        rows = rows.withColumn("file_name", F.col("_metadata.file_name")).where(~same)
+        frames.append(rows.select(*(F.col(f"c{i}").alias(n) for n, i in at.items()), "file_name"))
     return union_by_name(frames)
 
 
@@ -94,7 +122,7 @@ def read_csv_table(
 ) -> DataFrame:
     """Full scan of CSV files with headers, columns matched by name to the declared schema
     file by file."""
-    return conform(parse_by_header(raw_lines(spark.read, path, encoding), []), schema)
+    return conform(read_records(spark, raw_lines(spark.read, path, encoding), schema, encoding), schema)
 
 
 def read_parquet_if_any(spark: SparkSession, path: str) -> DataFrame | None:

@@ -1,6 +1,7 @@
-"""Loads into Parquet tables: append, insert-only, upsert, group replacement, refresh.
+"""Loads into plain Parquet folders: append, insert-only, upsert, group replacement, refresh.
 
-Append-style tables are plain Parquet folders. Tables whose rows get replaced are laid out
+A single folder is what these loads change; ``store`` has loads that are all or nothing, of
+several tables at a time, and the pipeline uses those. Append-style tables are plain Parquet folders. Tables whose rows get replaced are laid out
 in hash buckets of their key, so that a load rewrites only the buckets it touches; Spark
 stages a dynamic partition overwrite and moves it into place when the job commits. A repeated
 load reaches the same end state; a crash inside that commit can lose rows of touched buckets.
@@ -37,7 +38,17 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, path: str
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table's declared columns; an empty table if nothing was loaded yet."""
+    """The table's declared columns; an empty table if nothing was loaded yet.
+
+    A table below a store's folder is read as the store has it.
+    """
+    from pacegrid.sources.store import Store
+
+    parts = path.rstrip("/").split("/")
+    for depth in (1, 2):
+        store = Store.at(spark, "/".join(parts[:-depth])) if len(parts) > depth else None
+        if store is not None:
+            return store.read("/".join(parts[-depth:]), schema)
     found = read_parquet_if_any(spark, path)
     if found is None:
         return spark.createDataFrame([], schema)

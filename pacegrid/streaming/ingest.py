@@ -1,12 +1,15 @@
 """Incremental ingest of a folder of raw CSV files.
 
 The stream's checkpoint remembers which files were read, so each run takes new files only.
-A batch counts as done after all its outputs are written; if a run breaks in between, the
-batch is repeated, and its loads leave out what is already there.
+A batch of raw files is one load of a store, which records the batch with the tables it
+changes; if a run breaks before, nothing has changed and the batch is repeated; if it breaks
+after, the repeated batch does nothing. ``ingest_table`` writes a plain folder instead: its
+repeated batches leave out keys that are already there.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +19,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pacegrid.schema import columns
 from pacegrid.sources.clean import clean_best, clean_segments
-from pacegrid.sources.files import activity_id_of_file, conform, file_kind, parse_by_header, raw_lines
-from pacegrid.sources.tables import insert_only, load_layers
+from pacegrid.sources.files import activity_id_of_file, as_pattern, conform, file_kind, raw_lines, read_records
+from pacegrid.sources.layers import load_layers
+from pacegrid.sources.store import Load, Store, read_text, replace_text
+from pacegrid.sources.tables import insert_only
 
 RAW_STREAM = columns(
     "time_s double, lat double, lon double, dist_m double, alt_m double, hr_bpm double, "
@@ -40,22 +45,28 @@ RAW_SEGMENT = columns(
 OWN_OUTPUTS = ["best_profiles.csv", "segments.csv", "runstream.csv"]
 
 
-def raw_files(spark: SparkSession, folder: str, kind: str) -> DataFrame:
-    """A stream of the lines of one kind of raw file; sub-folders and other types are skipped.
+PATHS = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def raw_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of the paths of raw files; sub-folders and other types are skipped.
 
     A run takes all new files as one batch: a load compares with what earlier runs have
-    loaded, so files of one activity that arrive together stay together.
+    loaded, so files of one activity that arrive together stay together. The files' contents
+    are not read here.
     """
-    pattern = {"best": "*_best.csv", "segments": "*_segments.csv", "stream": "*.csv"}[kind]
-    lines = raw_lines(spark.readStream.option("pathGlobFilter", pattern), folder)
-    name = F.col("file_name")
-    return lines.where((file_kind(name) == kind) & ~name.isin(OWN_OUTPUTS))
+    files = spark.readStream.format("binaryFile").schema(PATHS).option("pathGlobFilter", "*.csv").load(folder)
+    named = files.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"))
+    return named.where(~F.col("file_name").isin(OWN_OUTPUTS))
 
 
-def raw_rows(lines: DataFrame, schema: T.StructType) -> DataFrame:
+def raw_rows(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
     """The declared columns and ``file_name``; each file is read under its own header."""
-    rows = parse_by_header(lines, ["file_name"], escape='"')
-    return conform(rows, T.StructType([*schema.fields, T.StructField("file_name", T.StringType())]))
+    whole = T.StructType([*schema.fields, T.StructField("file_name", T.StringType())])
+    if not paths:
+        return spark.createDataFrame([], whole)
+    lines = raw_lines(spark.read, [as_pattern(p) for p in paths])
+    return conform(read_records(spark, lines, schema, escape='"'), whole)
 
 
 def stream_points(rows: DataFrame) -> DataFrame:
@@ -78,21 +89,63 @@ def ingest_stream(
     )
 
 
-def ingest_folder(spark: SparkSession, folder: str, root: str) -> None:
-    """Load all new raw files of a folder into the bronze and silver tables below ``root``."""
-    jobs = {
-        "best": (RAW_BEST, "RunBest", clean_best),
-        "segments": (RAW_SEGMENT, "RunSegment", clean_segments),
-        "stream": (RAW_STREAM, "RunStream", stream_points),
-    }
-    for kind, (schema, table, tidy) in jobs.items():
+RAW = {
+    "best": (RAW_BEST, "RunBest", clean_best),
+    "segments": (RAW_SEGMENT, "RunSegment", clean_segments),
+    "stream": (RAW_STREAM, "RunStream", stream_points),
+}
+
+
+def load_files(load: Load, files: DataFrame) -> None:
+    """Bring raw files, ``path, file_name``, into the bronze and silver tables of a load."""
+    # The driver knows the paths already, as it has listed the folder.
+    paths: dict[str, list[str]] = {kind: [] for kind in RAW}
+    for row in files.select("path", file_kind(F.col("file_name")).alias("kind")).collect():
+        paths[row.kind].append(row.path)
+    for kind, (schema, table, tidy) in RAW.items():
+        if paths[kind]:
+            load_layers(load, tidy(raw_rows(load.spark, paths[kind], schema)), table)
 
-        def write(batch: DataFrame, schema=schema, table=table, tidy=tidy) -> None:
-            load_layers(tidy(raw_rows(batch, schema)), root, table)
 
-        rows = raw_files(spark, folder, kind)
-        query = ingest_stream(rows, write, f"{root}/checkpoints/{kind}")
-        query.awaitTermination()
+def ingest_id(spark: SparkSession, checkpoint: str) -> str:
+    """A name for the stream of a checkpoint: its batches are counted anew with a new one."""
+    path = f"{checkpoint}/ingest-id"
+    found = read_text(spark, path)
+    if found is None:
+        found = uuid.uuid4().hex
+        replace_text(spark, path, found)
+    return found
+
+
+def ingest_folder(
+    spark: SparkSession, folder: str, root: str, then: Callable[[Load], None] | None = None
+) -> bool:
+    """Load all new raw files of a folder into the store below ``root``; tells if there were any.
+
+    Each batch is one load: its tables, and what ``then`` does in it, change together, and a
+    batch that is repeated after a failure leaves what one clean run would have left.
+    """
+    store, checkpoint = Store(spark, root), f"{root}/checkpoints/raw"
+    stream = ingest_id(spark, checkpoint)
+    ran = []
+
+    def work(load: Load, files: DataFrame) -> None:
+        load_files(load, files)
+        if then is not None:
+            then(load)
+
+    def each_batch(files: DataFrame, batch: int) -> None:
+        ran.append(store.once(stream, batch, lambda load: work(load, files)))
+
+    query = (
+        raw_files(spark, folder)
+        .writeStream.foreachBatch(each_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return any(ran)
 
 
 def ingest_table(
