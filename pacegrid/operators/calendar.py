@@ -59,3 +59,27 @@ def filter_by_dimension(fact: DataFrame, dimension: DataFrame, key: str) -> Data
     """Fact rows whose key is among the selected dimension rows (or, with the sides
     exchanged, the dimension rows that still have facts)."""
     return fact.join(dimension.select(key).distinct(), key, "left_semi")
+
+
+def filter_both_ways(
+    tables: dict[str, DataFrame], links: list[tuple[str, str, str, bool]]
+) -> dict[str, DataFrame]:
+    """Tables with the rows that the selections on all of them leave.
+
+    A link ``one, other, key, both`` filters ``other`` by ``one``, and with ``both``, as between
+    tables that match row by row, also ``one`` by ``other``. The links must form a tree, each
+    after the link that leads to its first table: then a turn forth and one back leave nothing
+    more to filter, whatever the selections are.
+    """
+    linked = {links[0][0]} if links else set()
+    for one, other, _, _ in links:
+        if one not in linked or other in linked:
+            raise ValueError(f"the link from {one} to {other} is not a branch of a tree")
+        linked.add(other)
+    left = dict(tables)
+    for one, other, key, both in reversed(links):
+        if both:
+            left[one] = filter_by_dimension(left[one], left[other], key)
+    for one, other, key, _ in links:
+        left[other] = filter_by_dimension(left[other], left[one], key)
+    return left

@@ -868,3 +868,56 @@ ORACLE: dict[str, str] = {
         ),
     ),
 }
+
+# Silver has one effort of each id: the fastest, of equal ones the earliest.
+_UNIQUE_BEST = [
+    f"all_best AS ({PARTS['run_best']})",
+    """run_best AS (SELECT * EXCLUDE copy FROM (SELECT *, row_number() OVER (
+        PARTITION BY id ORDER BY elapsed_time, start_date) AS copy FROM all_best) WHERE copy = 1)""",
+]
+_one = lambda name, key: f"SELECT * FROM ({ORACLE[name]}) WHERE {key} = 4"
+ORACLE |= {
+    "filter_both_ways": sql(
+        f"activities athletes calendar {STREAM} start_points",
+        """, kept AS (SELECT a.activity_id, a.athlete_id FROM activities a
+            JOIN start_points s ON s.activity_id = a.activity_id
+            WHERE start_lat > 10.7003 AND a.date IN
+              (SELECT date FROM calendar WHERE week_relative_to_today BETWEEN 0 AND 200))
+        SELECT 'activities' AS of, activity_id AS id FROM kept
+        UNION ALL SELECT 'starts', activity_id FROM kept
+        UNION ALL SELECT 'athletes', athlete_id FROM athletes
+          WHERE athlete_id IN (SELECT athlete_id FROM kept)""",
+    ),
+    "store_load": sql(
+        "activities",
+        """SELECT activity_id, athlete_id, date,
+          round(CASE WHEN date < DATE '2000-07-01' THEN 1 ELSE 2 END * distance_km, 4) AS distance_km,
+          round(CASE WHEN date < DATE '2001-07-01' THEN 1 ELSE 2 END * distance_km, 4) AS first_km
+        FROM activities""",
+    ),
+    "store_replace_groups": ORACLE["replace_groups_load"],
+    "ingest_mixed_headers": sql(
+        "labels priorities",
+        """SELECT id, CASE WHEN id % 5 = 0 THEN name || chr(10) || 'second "line", of it'
+            ELSE name END AS name,
+          elapsed_time, CASE WHEN id % 3 = 0 THEN elapsed_time END AS moving_time,
+          CAST(start_date AS DATE) AS start_date,
+          CASE WHEN id % 3 <> 1 THEN CAST(floor(metres) AS INT) END AS distance,
+          activity_id, athlete_id
+        FROM run_best JOIN labels ON distance_label = name""",
+        _UNIQUE_BEST,
+    ),
+    "enrich_incremental": ORACLE["enrich_activities"],
+    "files_to_gold": sql(
+        "labels priorities",
+        f"""SELECT t.athlete_id, t.distance_label, round(predicted_best_sec, 4) AS predicted_best_sec,
+          prediction_date, round(r_squared, 4) AS r_squared, {MONDAY} AS week_start_date, sort_order
+        FROM trend t JOIN labels l ON l.distance_label = t.distance_label""",
+        [*_UNIQUE_BEST, f"trend AS ({PARTS['trend']})"],
+    ),
+    "one_athlete_recent": _one("recent_20", "athlete_id"),
+    "one_athlete_bests": _one("personal_bests", "athlete_id"),
+    "one_athlete_history": _one("history_monthly", "athlete_id"),
+    "one_activity_series": _one("channel_series", "activity_id"),
+    "one_activity_route": _one("route_points", "activity_id"),
+}

@@ -1,6 +1,7 @@
 """The registered queries: each operator over whole test tables.
 
-Queries of the athlete and activity views run for all athletes and activities at once.
+Queries of the athlete and activity views run for all athletes and activities at once, those
+named ``one_…`` for one.
 Outputs are rounded here, for comparison across engines; the operators do not round.
 """
 
@@ -9,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacegrid import schema
@@ -25,9 +26,12 @@ from pacegrid.operators import (
     streams,
     trend,
 )
+from pacegrid.plans import pipeline
 from pacegrid.plans.bindings import AS_OF, KM_PRICE, MAP_DAY, RACE_DATE, RACE_DAYS, RACE_KM, Tables, dict_text
 from pacegrid.session import work_folder
 from pacegrid.sources import clean, files, payloads, tables
+from pacegrid.sources.layers import load_layers
+from pacegrid.sources.store import Load, Store, file_system, hadoop_path
 from pacegrid.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +41,8 @@ QUERIES: dict[str, Query] = {}
 FIRST_LOAD_UNTIL = dt.date(2001, 7, 1)
 SECOND_LOAD_FROM = dt.date(2000, 7, 1)
 TABLE_BUCKETS = 8
+# An athlete and an activity to look at by themselves.
+ONE_ATHLETE, ONE_ACTIVITY = 4, 4
 DEGREES = {"lat", "lon", "start_lat", "start_lon"}
 
 WHAT_IF = [
@@ -149,6 +155,32 @@ def filter_propagation(t: Tables) -> DataFrame:
     )
 
 
+@query
+def filter_both_ways(t: Tables) -> DataFrame:
+    """Activities and start points match row by row: a selection of weeks and one of start
+    points reach each other's table, and the athletes are those of what is left."""
+    activities = t.activities()
+    starts = streams.first_gps_point(activities, t.stream())
+    weeks = calendar.dim_date(activities, AS_OF).where("week_relative_to_today between 0 and 200")
+    left = calendar.filter_both_ways(
+        {
+            "weeks": weeks,
+            "activities": activities,
+            "starts": starts.where(F.col("start_lat") > 10.7003),
+            "athletes": t.athletes(),
+        },
+        [
+            ("weeks", "activities", "date", False),
+            ("activities", "starts", "activity_id", True),
+            ("activities", "athletes", "athlete_id", False),
+        ],
+    )
+    kinds = {"activities": "activity_id", "starts": "activity_id", "athletes": "athlete_id"}
+    return files.union_by_name(
+        [left[name].select(F.lit(name).alias("of"), F.col(key).alias("id")) for name, key in kinds.items()]
+    )
+
+
 # --- squad view ------------------------------------------------------------------------
 
 
@@ -755,6 +787,152 @@ def stream_ingest(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{root}/table")
 
 
+@query
+def store_load(t: Tables) -> DataFrame:
+    """Loads of two tables of a store: one breaks before its commit, one comes twice."""
+    store, rows = Store(t.spark, work_folder(t.spark, "store"), TABLE_BUCKETS), _load_rows(t)
+    first = rows.where(F.col("date") < F.lit(FIRST_LOAD_UNTIL))
+    later = _changed(rows.where(F.col("date") >= F.lit(SECOND_LOAD_FROM)))
+
+    def bring(load: Load, batch: DataFrame) -> None:
+        load.upsert("latest", batch, "activity_id")
+        load.insert_only("oldest", batch, "activity_id")
+
+    store.once("loads", 0, lambda load: bring(load, first))
+    bring(store.load(), _changed(later))
+    for _ in range(2):
+        store.once("loads", 1, lambda load: bring(load, later))
+    oldest = store.read("oldest").select("activity_id", F.col("distance_km").alias("first_km"))
+    return store.read("latest").join(oldest, "activity_id")
+
+
+@query
+def store_replace_groups(t: Tables) -> DataFrame:
+    """Groups of a store's table replaced by a later load, after a load that broke."""
+    store, efforts = Store(t.spark, work_folder(t.spark, "store"), TABLE_BUCKETS), t.run_best()
+    keys = ["athlete_id", "name"]
+    day = F.col("start_date").cast("date")
+    per_day = efforts.groupBy(*keys, day.alias("date")).agg(F.min("elapsed_time").alias("sec"))
+    split = F.col("date") < F.lit(SECOND_LOAD_FROM)
+    store.once("days", 0, lambda load: load.replace("best", per_day.where(split), keys))
+    store.load().replace("best", per_day.withColumn("sec", F.lit(0)), keys)
+    store.once("days", 1, lambda load: load.replace("best", per_day.where(~split), keys))
+    return store.read("best")
+
+
+def _effort_files(t: Tables, folder: str, name: Column) -> None:
+    """Raw effort files of three layouts: other orders and columns, whole numbers written with
+    a fraction, a byte order mark, and names that may hold line breaks and quotes."""
+    text = t.run_best().select(
+        "id",
+        F.lit("2").alias("resource_state"),
+        name.alias("name"),
+        dict_text(F.col("activity_id")).alias("activity"),
+        dict_text(F.col("athlete_id"), ", 'team': None").alias("athlete"),
+        F.col("elapsed_time").cast("string").alias("elapsed_time"),
+        F.col("elapsed_time").cast("double").cast("string").alias("fraction"),
+        "moving_time",
+        F.date_format("start_date", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("start_date"),
+        "distance",
+    )
+    rest = ["name", "activity", "athlete"]
+    layouts = [
+        text.select("id", "resource_state", *rest, "elapsed_time", "moving_time", "start_date", "distance"),
+        text.select("start_date", F.col("fraction").alias("elapsed_time"), *reversed(rest), "id"),
+        text.select(F.col("id").alias("\ufeffid"), "distance", *rest, "start_date", "elapsed_time"),
+    ]
+    places = file_system(t.spark, folder)
+    places.mkdirs(hadoop_path(t.spark, f"{folder}/raw"))
+    for i, layout in enumerate(layouts):
+        own = layout.where(F.col("\ufeffid" if i == 2 else "id") % 3 == i)
+        own.write.option("header", True).option("escape", '"').csv(f"{folder}/layout-{i}")
+        # As many files as tasks wrote; a raw file is known by how its name ends.
+        for found in places.listStatus(hadoop_path(t.spark, f"{folder}/layout-{i}")):
+            part = found.getPath().getName()
+            if part.endswith(".csv"):
+                places.rename(found.getPath(), hadoop_path(t.spark, f"{folder}/raw/{i}-{part[:-4]}_best.csv"))
+
+
+@query
+def ingest_mixed_headers(t: Tables) -> DataFrame:
+    """Effort files with three headers, line breaks in names, and a mark before a header."""
+    folder = work_folder(t.spark, "ingest")
+    broken = F.when(F.col("id") % 5 == 0, F.concat("name", F.lit('\nsecond "line", of it'))).otherwise(F.col("name"))
+    _effort_files(t, folder, broken)
+    for _ in range(2):
+        ingest.ingest_folder(t.spark, f"{folder}/raw", f"{folder}/lake")
+    best = pipeline.silver(t.spark, f"{folder}/lake", "RunBest")
+    return best.withColumn("start_date", F.col("start_date").cast("date"))
+
+
+@query
+def enrich_incremental(t: Tables) -> DataFrame:
+    """Two loads of points and summaries: either may come first, metrics are those of one load."""
+    store = Store(t.spark, work_folder(t.spark, "enrich"), TABLE_BUCKETS)
+    points, rows = t.stream(), t.activities()
+    odd, late = F.col("activity_id") % 2 == 1, F.col("activity_id") % 3 == 0
+
+    def bring(load: Load, points: DataFrame, rows: DataFrame) -> None:
+        load_layers(load, points, "RunStream")
+        pipeline.enrich(load, rows)
+
+    store.once("days", 0, lambda load: bring(load, points.where(odd), rows.where(~late)))
+    for _ in range(2):
+        store.once("days", 1, lambda load: bring(load, points.where(~odd), rows))
+    found = store.read("silver/Activities", schema.SILVER["Activities"])
+    return found.select("activity_id", "distance_km", "hr_avg", "cad_max", "stride_len_m")
+
+
+@query
+def files_to_gold(t: Tables) -> DataFrame:
+    """Effort files, points, summaries and profiles to silver in one load, then gold: the trend
+    with its rows of the calendar and the labels."""
+    folder = work_folder(t.spark, "gold")
+    _effort_files(t, folder, F.col("name"))
+    root = f"{folder}/lake"
+
+    def then(load: Load) -> None:
+        load_layers(load, t.stream(), "RunStream")
+        load_layers(load, t.athletes(), "Athlete")
+        pipeline.enrich(load, t.activities())
+
+    ingest.ingest_folder(t.spark, f"{folder}/raw", root, then)
+    pipeline.build_gold(t.spark, root, AS_OF, t.races())
+    gold = {n: tables.read_table(t.spark, f"{root}/gold/{n}", s) for n, s in schema.GOLD.items()}
+    days = gold["dim_date"].select(F.col("date").alias("prediction_date"), "week_start_date")
+    labels = gold["dim_distance_label"].select("distance_label", "sort_order")
+    return gold["PBPrediction"].join(days, "prediction_date").join(labels, "distance_label")
+
+
+# --- one athlete, one activity -----------------------------------------------------------
+
+
+@query
+def one_athlete_recent(t: Tables) -> DataFrame:
+    latest = rankings.recent(t.activities(), 20, ONE_ATHLETE)
+    return latest.drop("start_time_utc", "distance_km", "duration_sec")
+
+
+@query
+def one_athlete_bests(t: Tables) -> DataFrame:
+    return rankings.personal_bests(t.athletes(), t.run_best(), ONE_ATHLETE)
+
+
+@query
+def one_athlete_history(t: Tables) -> DataFrame:
+    return rollups.history(t.activities(), "month", AS_OF, ONE_ATHLETE)
+
+
+@query
+def one_activity_series(t: Tables) -> DataFrame:
+    return streams.channel_series(t.stream(), ONE_ACTIVITY)
+
+
+@query
+def one_activity_route(t: Tables) -> DataFrame:
+    return streams.gps_points(t.stream(), ONE_ACTIVITY)
+
+
 # --- quality ---------------------------------------------------------------------------
 
 

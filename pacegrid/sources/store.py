@@ -51,17 +51,19 @@ class Conflict(RuntimeError):
     """Another load has committed since this one began."""
 
 
-def _path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """A path as Hadoop's file systems take it."""
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def _file_system(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+def file_system(spark: SparkSession, path: str):
+    """The file system that a path lies in."""
+    return hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small file's text, None if there is none."""
-    files, at = _file_system(spark, path), _path(spark, path)
+    files, at = file_system(spark, path), hadoop_path(spark, path)
     if not files.exists(at):
         return None
     stream = files.open(at)
@@ -74,8 +76,8 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 def replace_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file beside and rename it over ``path``."""
     beside = f"{path}.{uuid.uuid4().hex}"
-    files = _file_system(spark, path)
-    stream = files.create(_path(spark, beside), False)
+    files = file_system(spark, path)
+    stream = files.create(hadoop_path(spark, beside), False)
     try:
         stream.write(bytearray(text.encode()))
     finally:
@@ -84,9 +86,9 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
     kind = getattr(names, "Options$Rename")
     over = spark.sparkContext._gateway.new_array(kind, 1)
     over[0] = kind.OVERWRITE
-    whole = files.makeQualified(_path(spark, path))
+    whole = files.makeQualified(hadoop_path(spark, path))
     context = names.FileContext.getFileContext(whole.toUri(), spark._jsc.hadoopConfiguration())
-    context.rename(files.makeQualified(_path(spark, beside)), whole, over)
+    context.rename(files.makeQualified(hadoop_path(spark, beside)), whole, over)
 
 
 class Store:
@@ -125,10 +127,10 @@ class Store:
     def sweep(self) -> list[str]:
         """Remove folders of loads that no longer count or broke; no load or reader of older
         tables may be running."""
-        files, state, gone = _file_system(self.spark, self.root), self.state(), []
-        files.delete(_path(self.spark, f"{self.root}/{SCRATCH}"), True)
+        files, state, gone = file_system(self.spark, self.root), self.state(), []
+        files.delete(hadoop_path(self.spark, f"{self.root}/{SCRATCH}"), True)
         for table, entry in state["tables"].items():
-            for found in files.listStatus(_path(self.spark, f"{self.root}/{table}")):
+            for found in files.listStatus(hadoop_path(self.spark, f"{self.root}/{table}")):
                 name = found.getPath().getName()
                 if name.startswith(f"{LOAD}=") and name.partition("=")[2] not in entry["parts"]:
                     files.delete(found.getPath(), True)
@@ -187,7 +189,7 @@ class Load:
         if now != self.before:
             raise Conflict(f"{self.store.root}: another load has committed since this one began")
         replace_text(self.spark, f"{self.store.root}/{POINTER}", json.dumps(self.state))
-        _file_system(self.spark, self.scratch).delete(_path(self.spark, self.scratch), True)
+        file_system(self.spark, self.scratch).delete(hadoop_path(self.spark, self.scratch), True)
 
     def staged(self, df: DataFrame) -> DataFrame:
         """The rows written aside until the load commits, so that every pass sees the same."""
