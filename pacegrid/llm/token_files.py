@@ -24,7 +24,6 @@ look-up gives all of them.
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 from collections.abc import Iterable, Iterator
@@ -49,8 +48,12 @@ READ_IDS = 500_000
 #: Bytes of text that are cut into chunks at once: the more, the more of them repeat.
 SLICE_BYTES = 4_000_000
 #: White space other than a single blank or line feed between words, where tokens may begin
-#: elsewhere than at the blank or the line feed.
-MORE_WHITE = re.compile(r"[^\S \n]|\s (?:\s|\Z)|\s\n|\n\s")
+#: elsewhere than at the blank or the line feed; and the mark put before a stop.
+WHITE = "\t\x0b\x0c\r\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+MARK = "\x01"
+MORE_WHITE = rf"[{WHITE}{MARK}]|[ \n] (?:[ \n]|\z)|[ \n]\n|\n[ \n]"
+#: A full stop or comma between a letter and a blank is a token of its own.
+STOP, STOP_APART = r"([a-zA-ZÀ-ÖØ-öø-ÿ])([.,]) ", rf"\1 {MARK}\2 "
 
 
 def mixed(keys: np.ndarray, seed: int | np.ndarray) -> np.ndarray:
@@ -113,9 +116,9 @@ class ChunkEncoder:
     The pre-tokeniser begins a token at every blank or line feed that stands between other
     characters than white space. So texts are cut there; a chunk keeps its line feed, a
     missing one stands for a blank, and a line feed put before the text makes its first chunk
-    like any other. Chunks of a slice are told apart in Arrow; new ones are encoded as one
-    text, whose ids are cut where a blank or a line feed begins. Texts with more white space
-    go through whole.
+    like any other. A stop after a letter is a chunk by itself, marked as one without a blank.
+    Chunks of a slice are told apart in Arrow; new ones are encoded as one text, whose ids are
+    cut where a blank or a line feed begins. Texts with more white space go through whole.
     """
 
     def __init__(self, path: str):
@@ -130,16 +133,14 @@ class ChunkEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.ids = np.zeros(0, self.kind)
         self.ends = np.zeros(1, np.int64)
 
     def learn(self, chunks: list[str]) -> None:
-        if len(self.known) > CACHED_CHUNKS:
-            self.forget()
-        # Alone, white space would run on into the next chunk.
-        bare = [c for c in chunks if c in ("", "\n") and c not in self.known]
-        new = [c for c in chunks if c not in self.known and c not in ("", "\n")]
+        # Alone, white space would run on into the next chunk; a marked stop has no blank.
+        bare = [c for c in chunks if c in ("", "\n") or c[0] == MARK]
+        new = [c for c in chunks if c not in ("", "\n") and c[0] != MARK]
         parts, sizes = [], []
         for start in range(0, len(new), 20_000):
             part = new[start : start + 20_000]
@@ -151,30 +152,41 @@ class ChunkEncoder:
             parts.append(ids)
             sizes.append(np.diff(np.append(heads, len(ids))))
         for c in bare:
-            ids = self.tokenizer.encode(c or " ", add_special_tokens=False).ids
+            ids = self.tokenizer.encode(c.removeprefix(MARK) or " ", add_special_tokens=False).ids
             parts.append(np.array(ids, self.kind))
             sizes.append(np.array([len(ids)]))
         if parts:
-            self.known.update(zip([*new, *bare], range(len(self.known), len(self.known) + len(new) + len(bare))))
+            self.known = pa.concat_arrays([self.known, pa.array([*new, *bare], pa.large_string())])
             self.ids = np.concatenate([self.ids, *parts])
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
 
+    def places(self, distinct: pa.Array) -> np.ndarray:
+        """Where each chunk is among the known ones; new ones are learned."""
+        if len(self.known) > CACHED_CHUNKS:
+            self.forget()
+        found = pc.index_in(distinct, value_set=self.known)
+        new = distinct.filter(pc.is_null(found)).to_pylist()
+        if new:
+            self.learn(new)
+            found = pc.index_in(distinct, value_set=self.known)
+        return found.to_numpy()
+
     def encode(self, batch: list[str]) -> list[bytes]:
-        plain = [MORE_WHITE.search(t) is None for t in batch]
-        marked = pa.array(["\n" + t.replace("\n", " \n") for t, p in zip(batch, plain) if p], pa.large_string())
+        every = pa.array(batch, pa.large_string())
+        plain = pc.invert(pc.match_substring_regex(every, MORE_WHITE))
+        marked = pc.replace_substring(every.filter(plain), "\n", " \n")
+        marked = pc.binary_join_element_wise(pa.scalar("\n", pa.large_string()), marked, pa.scalar("", pa.large_string()))
+        marked = pc.replace_substring_regex(marked, STOP, STOP_APART)
         lists = pc.split_pattern(marked, " ")
         chunks = lists.flatten().dictionary_encode()
-        distinct = chunks.dictionary.to_pylist()
-        self.learn(distinct)
-        places = np.fromiter((self.known[c] for c in distinct), np.int64, len(distinct))
-        places = places[chunks.indices.to_numpy()] if len(places) else places
+        places = self.places(chunks.dictionary)[chunks.indices.to_numpy()]
         first, sizes = self.ends[places], np.diff(self.ends)[places]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.ids[np.repeat(first - ends[:-1], sizes) + np.arange(ends[-1])]
         # By text, without the line feed put before it.
         edges = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
         found = (ids[a + 1 : b].tobytes() for a, b in zip(edges, edges[1:]))
-        return [next(found) if p else self.whole(t) for t, p in zip(batch, plain)]
+        return [next(found) if p else self.whole(t) for t, p in zip(batch, plain.to_pylist())]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
