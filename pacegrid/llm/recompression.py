@@ -8,14 +8,17 @@ for alone, so equal substrings get equal symbols inside, in whichever document a
 * First Spark round, ``LOW_LEVELS`` levels: symbols are counted over all documents. With every
   symbol goes the stretch of words that determines it, so a window that holds this stretch has
   the symbol wherever it stands. A window with a symbol of one document only is no repeat; the
-  others stay alive.
+  others stay alive. Every second symbol, by its name, does for that.
 * Second Spark round, up to ``HIGH_LEVELS`` levels, for documents with living windows:
-  symbols of 50 words or more, and whole documents, are named by 128-bit hashes of their words
-  and get their first document. One that an earlier document has is removed as a whole, and its
-  windows are known there: copies do not bring theirs along.
-* What is left is verified: living windows outside such symbols are compared by 128-bit hashes
+  symbols of 50 words or more, neighbours of them, and whole documents, are named by 128-bit
+  hashes of their words. One that an earlier document has is removed as a whole, and its windows
+  are known there: copies do not bring theirs along.
+* What is left is verified: living windows outside such stretches are compared by 128-bit hashes
   of their words. A clash of the 64-bit names can only leave a window alive.
 
+Equal hashes are brought together by sorting over all tasks, so rows of one hash, however many,
+are spread like any others.
+
 Defined results: a null or empty text has no words; a row without key comes after all others;
 rows with equal keys do not remove each other's words, as neither key is smaller; extra columns
 are kept, whatever their names. A text is worked on in one task, with about 100 bytes a word.
@@ -30,6 +33,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +46,8 @@ from pacegrid.llm.common import written
 WINDOW = 50
 #: Levels of the first round: their symbols are determined by some twenty words.
 LOW_LEVELS = 4
-#: Levels of the second round, by which symbols stand for some hundred words.
-HIGH_LEVELS = 16
+#: Levels of the second round whose symbols are named, of some 55 and 100 words.
+HIGH_LEVELS = (14, 16)
 
 ODD_A, ODD_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 ODD_C, RUN = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x165667B19E3779F9)
@@ -119,15 +123,6 @@ class Parse:
         first = np.searchsorted(self.start, self.edges[:-1][np.diff(self.edges) > 0])
         return first, np.append(first[1:], len(self.start)) - 1
 
-    def of_texts(self, texts: list[int]) -> Parse:
-        """Some of the texts alone."""
-        at = np.searchsorted(self.start, self.edges)
-        sizes = np.diff(self.edges)[texts]
-        edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        kept = np.concatenate([np.arange(at[t], at[t + 1]) for t in texts] or [at[:0]])
-        moved = np.repeat(edges[:-1] - self.edges[:-1][texts], (at[1:] - at[:-1])[texts])
-        return Parse(self.name[kept], self.start[kept] + moved, self.low[kept], self.high[kept], edges)
-
     def runs(self) -> Parse:
         """Equal neighbours as one symbol. That a run ends is up to both neighbours."""
         n = len(self.name)
@@ -185,16 +180,21 @@ class Parse:
         return (self.high - self.low <= WINDOW) & (self.stops() - self.start > 1)
 
 
-def living(parse: Parse, shared: np.ndarray) -> np.ndarray:
-    """Whether the window from each word on can be a repeat."""
-    n = int(parse.edges[-1])
-    alone = np.flatnonzero(parse.determined() & ~np.isin(parse.name, shared))
+def chosen(parse: Parse) -> np.ndarray:
+    """The symbols that are counted: determined ones, every second by name."""
+    return np.flatnonzero(parse.determined() & (parse.name & np.uint64(1) == 0))
+
+
+def living(low: np.ndarray, high: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Whether the window from each word on can be a repeat, given the stretches that determine
+    symbols of one document only. Texts have one place more than words."""
+    n = int(edges[-1])
     # Windows that begin in the text before are too near to its end to be any.
-    change = np.bincount(np.maximum(parse.high[alone] - WINDOW, 0), minlength=n + 1)
-    change = change[: n + 1] - np.bincount(parse.low[alone] + 1, minlength=n + 1)[: n + 1]
+    change = np.bincount(np.maximum(high - WINDOW, 0), minlength=n + 1)
+    change -= np.bincount(low + 1, minlength=n + 1)
     alive = np.cumsum(change)[:n] == 0
-    for stop in parse.edges[1:]:
-        alive[max(stop - WINDOW + 1, 0) : stop] = False
+    for stop in edges[1:].tolist():
+        alive[max(stop - WINDOW, 0) : stop] = False
     return alive
 
 
@@ -232,124 +232,227 @@ def spans_of(pairs: Iterable[tuple[int, int]]) -> list[dict]:
 
 
 def named(rows: DataFrame) -> DataFrame:
-    """``_row, _names``: distinct symbols of the first round by document."""
+    """By document: number of words, counted symbols of the first round, and the first word and
+    size of the stretch that determines each."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
             words, edges = word_names(batch.column("_text").to_pylist())
+            sizes = np.diff(edges)
             parse = Parse.of(words, edges).levels(0, LOW_LEVELS)
-            chosen = parse.determined()
-            at = np.concatenate([[0], np.cumsum(chosen)])[np.searchsorted(parse.start, edges)]
-            names = parse.name[chosen].view(np.int64)
-            long = np.diff(edges) >= WINDOW
-            found = [np.unique(names[a:b]) if enough else [] for a, b, enough in zip(at, at[1:], long)]
+            at = chosen(parse)
+            text = np.searchsorted(edges, parse.start[at], "right") - 1
+            at = at[sizes[text] >= WINDOW]
+            text = np.searchsorted(edges, parse.start[at], "right") - 1
+            ends = pa.array(np.searchsorted(text, np.arange(len(edges))), pa.int32())
+            columns = (parse.name[at].view(np.int64), parse.low[at] - edges[text], (parse.high - parse.low)[at].astype(np.int8))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("_row"),
+                    pa.array(sizes, pa.int32()),
+                    *(pa.ListArray.from_arrays(ends, pa.array(c)) for c in columns),
+                ],
+                ["_row", "_n", "_names", "_lows", "_sizes"],
+            ).filter(pa.array(sizes >= WINDOW))
+
+    sql = "_row bigint, _n int, _names array<bigint>, _lows array<int>, _sizes array<tinyint>"
+    return map_arrow(rows.select("_row", "_text"), run, sql)
+
+
+def alive(names: DataFrame) -> DataFrame:
+    """Documents with living windows, and these as stretches of first words, for rows of
+    ``named`` with the names that other documents have too, ``_shared``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            flat = {c: batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("_names", "_lows", "_sizes", "_shared")}
+            edges = np.concatenate([[0], np.cumsum(batch.column("_n").to_numpy().astype(np.int64) + 1)])
+            own = np.repeat(edges[:-1], pc.list_value_length(batch.column("_names")).to_numpy())
+            alone = ~np.isin(flat["_names"], flat["_shared"])
+            low = (flat["_lows"] + own)[alone]
+            marks = living(low, low + flat["_sizes"][alone], edges)
+            windows = [stretches(marks[a:b]) for a, b in zip(edges, edges[1:])]
+            have = pa.array([bool(w) for w in windows])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), pa.array(found, pa.list_(pa.int64()))], ["_row", "_names"]
+                [batch.column("_row").filter(have), pa.array([spans_of(w) for w in windows if w], _SPANS)],
+                ["_row", "_windows"],
             )
 
-    return map_arrow(rows.select("_row", "_text"), run, "_row bigint, _names array<bigint>")
+    return map_arrow(names, run, f"_row bigint, _windows {SPANS}")
+
+
+HASHED = "_row bigint, start int, stop int, hash binary"
 
 
-def revealed(rows: DataFrame, kind: str) -> DataFrame:
-    """Documents with living windows, these windows as stretches of first words, and the
-    document's long symbols."""
+def revealed(rows: DataFrame) -> DataFrame:
+    """Long symbols, neighbours, and the whole of each document: ``_row, _key, start, stop, hash``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
             texts = batch.column("_text").to_pylist()
             words, edges = word_names(texts)
-            low = Parse.of(words, edges).levels(0, LOW_LEVELS)
-            shared = batch.column("_names").flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            alive = living(low, shared)
-            have = [i for i in range(batch.num_rows) if alive[edges[i] : edges[i + 1]].any()]
-            high = low.of_texts(have).levels(LOW_LEVELS, HIGH_LEVELS)
-            stops = high.stops()
-            at = np.searchsorted(high.start, high.edges)
-            windows, symbols = [], []
-            for i, k in enumerate(have):
-                joined, offsets = joined_words(texts[k])
-                spans = np.stack([high.start, stops], axis=1)[at[i] : at[i + 1]] - high.edges[i]
-                long = spans[spans[:, 1] - spans[:, 0] >= WINDOW].tolist()
-                windows.append(spans_of(stretches(alive[edges[k] : edges[k + 1]])))
-                symbols.append(
-                    [
-                        {"hash": xxhash.xxh3_128_digest(joined[offsets[a] : offsets[b] - 1]), "start": a, "stop": b}
-                        for a, b in sorted({(0, len(offsets) - 1), *map(tuple, long)})
-                    ]
-                )
-            kept = pa.array(have, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c).take(kept) for c in ("_row", "_key", "_text")),
-                    pa.array(windows, _SPANS),
-                    pa.array(
-                        symbols,
-                        pa.list_(pa.struct([("hash", pa.binary()), ("start", pa.int32()), ("stop", pa.int32())])),
-                    ),
-                ],
-                ["_row", "_key", "_text", "_windows", "_symbols"],
-            )
-
-    sql = (
-        f"_row bigint, _key {kind}, _text string, _windows {SPANS}, "
-        "_symbols array<struct<hash:binary,start:int,stop:int>>"
+            now, level = Parse.of(words, edges), 0
+            spans: list[set[tuple[int, int]]] = [{(0, b - a)} for a, b in zip(edges.tolist(), edges[1:].tolist())]
+            for high in HIGH_LEVELS:
+                now, level = now.levels(level, high), high
+                stops, at = now.stops(), np.searchsorted(now.start, edges)
+                for i, (a, b, edge) in enumerate(zip(at, at[1:], edges)):
+                    start, stop = (now.start[a:b] - edge).tolist(), (stops[a:b] - edge).tolist()
+                    spans[i].update(zip(start, stop))
+                    spans[i].update(zip(start, stop[1:]))
+            own, found = [], []
+            for i, text in enumerate(texts):
+                joined, offsets = joined_words(text)
+                for a, b in sorted(spans[i]):
+                    if b - a >= WINDOW:
+                        own.append(i)
+                        found.append((a, b, xxhash.xxh3_128_digest(joined[offsets[a] : offsets[b] - 1])))
+            yield hashed(batch, own, found)
+
+    return map_arrow(rows.select("_row", "_key", "_text"), run, T.StructType([rows.schema["_key"], *_hashed().fields]))
+
+
+def _hashed() -> T.StructType:
+    return T.StructType.fromDDL(HASHED)
+
+
+def hashed(batch: pa.RecordBatch, own: list[int], found: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    """Stretches ``start, stop, hash`` of the batch's rows ``own``."""
+    at = pa.array(own, pa.int32())
+    start, stop, digest = zip(*found) if found else ((), (), ())
+    return pa.RecordBatch.from_arrays(
+        [
+            *(batch.column(c).take(at) for c in ("_key", "_row")),
+            pa.array(start, pa.int32()),
+            pa.array(stop, pa.int32()),
+            pa.array(digest, pa.binary()),
+        ],
+        ["_key", "_row", "start", "stop", "hash"],
     )
-    return map_arrow(rows.select("_row", "_key", "_text", "_names"), run, sql)
 
 
-def verified(alive: DataFrame, kind: str) -> DataFrame:
-    """``_row, _key, start, hash`` of the living windows outside settled symbols."""
+def verified(rows: DataFrame) -> DataFrame:
+    """The living windows outside settled stretches, as ``revealed`` gives stretches."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
             texts, settled = batch.column("_text").to_pylist(), batch.column("_settled").to_pylist()
+            own, found = [], []
             for i, spans in enumerate(batch.column("_windows").to_pylist()):
                 joined, offsets = joined_words(texts[i])
                 marks = covered(len(offsets) - 1, pairs_of(spans))
                 for start, stop in pairs_of(settled[i]):
                     marks[start : stop - WINDOW + 1] = False
-                starts = np.flatnonzero(marks).tolist()
-                hashes = [xxhash.xxh3_128_digest(joined[offsets[a] : offsets[a + WINDOW] - 1]) for a in starts]
-                own = pa.array([i] * len(starts), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(batch.column(c).take(own) for c in ("_row", "_key")),
-                        pa.array(starts, pa.int32()),
-                        pa.array(hashes, pa.binary()),
-                    ],
-                    ["_row", "_key", "start", "hash"],
-                )
-
-    rows = alive.select("_row", "_key", "_text", "_windows", "_settled")
-    return map_arrow(rows, run, f"_row bigint, _key {kind}, start int, hash binary")
+                for a in np.flatnonzero(marks).tolist():
+                    own.append(i)
+                    found.append((a, a + WINDOW, xxhash.xxh3_128_digest(joined[offsets[a] : offsets[a + WINDOW] - 1])))
+                if len(own) > 100_000:
+                    yield hashed(batch, own, found)
+                    own, found = [], []
+            yield hashed(batch, own, found)
+
+    columns = rows.select("_row", "_key", "_text", "_windows", "_settled")
+    return map_arrow(columns, run, T.StructType([rows.schema["_key"], *_hashed().fields]))
 
 
 def of_earlier(found: DataFrame) -> DataFrame:
-    """Rows of ``found`` whose ``hash`` a row with a smaller key has too."""
-    # Equal rows of a task meet before the shuffle; only repeated hashes come back.
-    first = found.groupBy("hash").agg(F.min("_key").alias("_first"), F.count("*").alias("_n"))
-    later = F.col("_key").isNull() | (F.col("_first") < F.col("_key"))
-    return found.join(first.where("_n > 1 AND _first IS NOT NULL").drop("_n"), "hash").where(later)
+    """``_row, start, stop`` of the rows of a written table whose ``hash`` a row with a smaller
+    key has too.
+
+    In the order of hash and key, a row of a hash that comes after a change of key is one. A
+    task does not know how its first hash began; rows of that one are looked up.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, changed, first = None, False, True
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            hashes, keys = batch.column("hash"), batch.column("_key")
+            if last is not None:
+                hashes, keys = (pa.concat_arrays([a, b]) for a, b in zip(last, (hashes, keys)))
+            new, other = differs(hashes), differs(keys)
+            if last is None:
+                new, other = np.append(True, new), np.append(False, other)
+            # By row: changes of key so far, and as many as there were where its hash began.
+            other = other & ~new
+            seen = np.cumsum(other) + changed
+            begun = np.where(new, seen, 0)
+            later = seen > np.maximum.accumulate(np.append(0, begun))[1:]
+            changed = int(later[-1])
+            heads = np.flatnonzero(new)
+            unknown = np.zeros(n, bool)
+            if first:
+                stop = n
+                if last is None and len(heads) > 1:
+                    stop, first = int(heads[1]), False
+                elif last is not None and len(heads):
+                    stop, first = int(heads[0]), False
+                unknown[:stop] = True
+            last = (hashes.slice(len(hashes) - 1), keys.slice(len(keys) - 1))
+            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(unknown)], [*batch.schema.names, "_open"])
+            yield out.filter(pa.array(later | unknown))
+
+    place = ["hash", F.asc_nulls_last("_key"), "_row", "start"]
+    dealt = found.repartitionByRange(*place).sortWithinPartitions(*place)
+    late = written(map_arrow(dealt, run, T.StructType([*found.schema.fields, T.StructField("_open", T.BooleanType())])), "recompression-late")
+    # One hash for each task at most.
+    open_rows = late.where("_open")
+    hashes = F.broadcast(open_rows.select("hash").distinct())
+    first = found.join(hashes, "hash").groupBy("hash").agg(F.min("_key").alias("_first")).where("_first IS NOT NULL")
+    known = open_rows.join(F.broadcast(first), "hash").where("_key IS NULL OR _first < _key")
+    columns = ["_row", "start", "stop"]
+    return late.where("NOT _open").select(*columns).unionByName(known.select(*columns))
+
+
+def differs(values: pa.Array) -> np.ndarray:
+    """Whether each value but the first is another than the one before; nulls are equal."""
+    a, b = values.slice(1), values.slice(0, len(values) - 1)
+    unequal = pc.fill_null(pc.not_equal(a, b), False).to_numpy(zero_copy_only=False)
+    return unequal | (a.is_null().to_numpy(zero_copy_only=False) != b.is_null().to_numpy(zero_copy_only=False))
+
+
+def united(spans: DataFrame) -> DataFrame:
+    """``_row, _spans`` with overlapping spans as one, for rows ``_row, start, stop``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for found in batch.column("_spans").to_pylist():
+                ends = sorted(pairs_of(found))
+                whole = [ends[0]]
+                for a, b in ends[1:]:
+                    if a <= whole[-1][1]:
+                        whole[-1] = (whole[-1][0], max(b, whole[-1][1]))
+                    else:
+                        whole.append((a, b))
+                out.append(spans_of(whole))
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(out, _SPANS)], ["_row", "_spans"])
+
+    # At most as many spans as the document has words.
+    by_row = spans.groupBy("_row").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
+    return map_arrow(by_row, run, f"_row bigint, _spans {SPANS}")
 
 
 def removed_spans(rows: DataFrame) -> DataFrame:
     """``_row, _spans`` of what goes, for rows ``_row, _key, _text`` of distinct ``_row``."""
-    kind = rows.schema["_key"].dataType.simpleString()
     names = written(named(rows), "recompression-names")
-    each = names.select("_row", F.explode("_names").alias("name"))
+    each = names.select("_row", F.explode(F.array_distinct("_names")).alias("name"))
     # Documents name a symbol once, so a count over 1 means two documents.
     shared = each.groupBy("name").count().where("count > 1").select("name")
-    known = each.join(shared, "name").groupBy("_row").agg(F.collect_list("name").alias("_names"))
+    known = each.join(shared, "name").groupBy("_row").agg(F.collect_list("name").alias("_shared"))
     # A text of nothing but repeated words has no names and may yet be a repeat.
-    alive = written(revealed(rows.join(known, "_row", "left"), kind), "recompression-alive")
-    symbols = alive.select("_row", "_key", F.explode("_symbols").alias("_s")).select("_row", "_key", "_s.*")
-    settled = written(of_earlier(symbols).select("_row", "start", "stop"), "recompression-settled")
+    windows = written(alive(names.join(known, "_row", "left")), "recompression-alive")
+    # Of small tables: Spark broadcasts those that are, and sorts and merges others.
+    texts = rows.join(windows, "_row")
+    settled = written(of_earlier(written(revealed(texts), "recompression-symbols")), "recompression-settled")
     by_row = settled.groupBy("_row").agg(F.collect_list(F.struct("start", "stop")).alias("_settled"))
-    windows = written(verified(alive.join(by_row, "_row", "left"), kind), "recompression-windows")
-    repeats = of_earlier(windows).select("_row", "start", (F.col("start") + WINDOW).alias("stop"))
-    # At most as many spans as the document has words.
-    every = settled.unionByName(repeats)
-    return every.groupBy("_row").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
+    by_row = written(by_row, "recompression-settled-rows")
+    found = written(verified(texts.join(by_row, "_row", "left")), "recompression-windows")
+    return written(united(settled.unionByName(of_earlier(found))), "recompression-spans")
 
 
 def dedup_substrings(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -106,10 +106,12 @@ def test_equal_windows_have_equal_determined_symbols(size):
         at = [t.split() for t in texts]
         places = [next(i for i in range(len(w)) if w[i : i + WINDOW] == window) for w in at]
         parses = [Parse.of(*word_names([t])).levels(0, recompression.LOW_LEVELS) for t in texts]
-        names = [p.name[p.determined()] for p in parses]
-        shared = np.intersect1d(*names)
-        for parse, place in zip(parses, places):
-            assert living(parse, shared)[place]
+        at = [recompression.chosen(p) for p in parses]
+        shared = np.intersect1d(*(p.name[a] for p, a in zip(parses, at)))
+        for parse, own, place in zip(parses, at, places):
+            alone = own[~np.isin(parse.name[own], shared)]
+            edges = np.array([0, parse.edges[-1] + 1])
+            assert living(parse.low[alone], parse.high[alone], edges)[place]
 
 
 def test_names_thin_out_with_levels():
