@@ -55,7 +55,9 @@ STEPS = 40
 #: A step may raise the sum of squares, but not above the greatest of so many last ones.
 RECENT = 8
 #: Steps end too when rates no longer move, as a share of the common rate.
-STILL = 1e-7
+STILL = 1e-5
+#: Characters of a plan that Spark keeps; the classifier's weights are in it.
+PLAN_CHARACTERS = 20_000
 #: With a floor, the total grows by this factor until the targets are met, so many times at most.
 GROWTH, GROWTHS = 1.5, 8
 #: Steps end when every domain is this near to its target, as a share of all tokens.
@@ -156,7 +158,8 @@ def trained(names: list[str], found: DataFrame) -> Classifier:
     prior = [(int(c) + 1) / (n + len(names)) for c in count]
     by = np.zeros((len(names), FEATURES), np.int64)
     hits = found.select("own", F.explode("at").alias("at")).groupBy("at")
-    counted = hits.agg(*(F.count_if(F.col("own") == d).alias(f"n{d}") for d in domains)).toArrow()
+    counts = written(hits.agg(*(F.count_if(F.col("own") == d).alias(f"n{d}") for d in domains)), "mixing-counts")
+    counted = counts.toArrow()
     for d in domains:
         by[d][counted["at"].to_numpy()] = counted[f"n{d}"].to_numpy()
     whole = by.sum(axis=0)
@@ -169,21 +172,22 @@ def trained(names: list[str], found: DataFrame) -> Classifier:
     if n < 2 or (count > 0).sum() < 2:
         return Classifier(names, prior, weights)
 
-    def summed(values: Column) -> Column:
-        return F.aggregate("at", F.lit(0.0), lambda a, f: a + F.get(values, f))
-
-    def total(d: int) -> Column:
-        """The sum of a row's weights for a domain, without the row's own counts."""
-        cases = []
-        for less in (1, 0):
-            here = np.maximum(by[d] - less, 0)
-            values = numbers(np.round(weight(here, count[d] - less, np.maximum(whole - 1, 0), n - 1), 6).tolist())
-            cases.append(summed(values))
-        return F.when(F.col("own") == d, cases[0]).otherwise(cases[1]).alias(f"s{d}")
-
+    # Every feature of a labelled row with its counts, less the row's own. The counts are a row
+    # for each feature, 2**17 at most.
+    each = found.select("doc_id", "own", F.explode("at").alias("at"))
+    each = each.join(F.broadcast(counts), "at")
+    others = sum(F.col(f"n{d}") for d in domains) - 1
+    sums = []
+    for d in domains:
+        less = F.when(F.col("own") == d, 1).otherwise(0)
+        expected = (F.lit(int(count[d])) - less) * others / max(n - 1, 1)
+        ratio = (F.col(f"n{d}") - less + PRIOR_TEXTS) / (expected + PRIOR_TEXTS)
+        # Rounded, so that the order of a sum does not matter.
+        sums.append(F.sum(F.round(F.log(ratio), 6).cast("decimal(18,6)")).cast("double").alias(f"s{d}"))
+    rows = each.groupBy("doc_id").agg(*sums)
+    rows = found.select("doc_id", "own", F.size("at").alias("size")).join(rows, "doc_id", "left").fillna(0.0)
     # Bounded by the labelled rows; the order in which they come must not matter.
-    rows = found.select("doc_id", "own", F.size("at").alias("size"), *(total(d) for d in domains)).toArrow()
-    rows = rows.sort_by("doc_id")
+    rows = rows.toArrow().sort_by("doc_id")
     own, sizes = rows["own"].to_numpy(), rows["size"].to_numpy()
     sums = [rows[f"s{d}"].to_numpy() for d in domains]
     best = None
@@ -291,6 +295,17 @@ class Mix:
         )
 
 
+def scored(posteriors: DataFrame) -> DataFrame:
+    """Posteriors written and read again, without the driver keeping the weights' text."""
+    conf, name = posteriors.sparkSession.conf, "spark.sql.maxPlanStringLength"
+    before = conf.get(name)
+    conf.set(name, str(PLAN_CHARACTERS))
+    try:
+        return written(posteriors, "mixing")
+    finally:
+        conf.set(name, before)
+
+
 def fit(
     documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, bounds: tuple[float, float] = FREE
 ) -> Mix:
@@ -298,7 +313,7 @@ def fit(
     the least and the greatest rate: from 1 on no document is left out, and with an upper one
     none is repeated more often. ``reached`` and ``met`` tell how near the totals come."""
     model = learn(documents, labels)
-    data = written(Mix(model, [], 1.0, 0.0, []).apply(documents.select("text")).drop("text", "rate"), "mixing")
+    data = scored(Mix(model, [], 1.0, 0.0, []).apply(documents.select("text")).drop("text", "rate"))
     return solve(data, model, targets, bounds)
 
 
@@ -308,19 +323,19 @@ def rated(
 ) -> tuple[DataFrame, Mix]:
     """The ``keep`` columns with ``n_tokens``, ``posterior`` and ``rate``; texts are scored once."""
     model = learn(documents, labels)
-    data = written(Mix(model, [], 1.0, 0.0, []).apply(documents).select(*keep, "n_tokens", "posterior"), "mixing")
+    data = scored(Mix(model, [], 1.0, 0.0, []).apply(documents).select(*keep, "n_tokens", "posterior"))
     mix = solve(data, model, targets, bounds)
     return data.withColumn("rate", mix.rate(F.col("posterior"))), mix
 
 
 def solve(
-    scored: DataFrame, model: Classifier, targets: dict[str, float] | None = None, bounds: tuple[float, float] = FREE
+    rows: DataFrame, model: Classifier, targets: dict[str, float] | None = None, bounds: tuple[float, float] = FREE
 ) -> Mix:
     """Rates from ``n_tokens`` and ``posterior`` of all documents, a written table."""
     targets = targets or TARGETS
     domains = range(len(model.domains))
     blank = Mix(model, [], 1.0, 0.0, [], bounds)
-    data = scored.select(
+    data = rows.select(
         F.col("n_tokens").cast("double").alias("t"), *(F.get("posterior", F.lit(d)).alias(f"p{d}") for d in domains)
     )
     pairs = [(a, b) for a in domains for b in domains if a <= b]
