@@ -1,6 +1,12 @@
 """The corpus pipeline: quality rules, line dedup, near-duplicates, mixing, token ids.
 
 Every stage reads what the one before has written and works on all of it.
+
+Defined results: only the columns of ``documents`` go on, others are left out. Null and empty
+texts fail the quality rules. Rows without ``doc_id`` are judged like others and come last
+where the first of copies stays; of rows with equal ``doc_id`` and text one stays. Without
+labels the base rules alone judge and the mix takes all domains for equally likely. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated passages; those left without text go."""
-    cleaned = line_chunks.dedup_lines(docs.select(*COLUMNS))
+    cleaned = line_chunks.dedup_runs(docs.select(*COLUMNS))
     left = cleaned.where(F.col("text").rlike(quality_rules.WORD))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
