@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
+import numpy as np
 from pacegrid.llm import jaccard, line_chunks, mixing, quality_rules
 from pyspark.sql import functions as F
 
@@ -66,6 +67,28 @@ def test_empty_tables(spark):
     assert mixing.mixed(one, none).count() >= 1
 
 
+def without_runs(texts):
+    """Texts without later copies of chunks and of least windows of lines, by id."""
+    seen, first, gone = set(), {}, {}
+    for i in sorted(texts):
+        lines, at = texts[i].split("\n"), 0
+        drop = gone[i] = set()
+        for chunk, n, words in line_chunks.cut(texts[i]):
+            if line_chunks.counts(n, words):
+                if chunk in seen:
+                    drop.update(range(at, at + n))
+                seen.add(chunk)
+            at += n
+        words = [len(line.split()) for line in lines]
+        ids, _ = line_chunks.line_ids(lines, words, 0)
+        onward, upto = line_chunks.windows(words)
+        for start, stop in sorted({*onward, *upto}):
+            own, place = first.setdefault(tuple(h for h in ids[start:stop] if h is not None), (i, start))
+            if own != i or start >= place + stop - start:
+                drop.update(range(start, stop))
+    return {i: "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[i]) for i, t in texts.items()}
+
+
 def test_pipeline_stages(spark):
     """Each stage on what the one before kept, against its own brute-force rule."""
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").coalesce(1)
@@ -76,17 +99,7 @@ def test_pipeline_stages(spark):
     assert set(kept) == {i for i, r in judged.items() if r["kept"]}
 
     second = lines(spark, first, FOLDER)
-    seen, expected = set(), {}
-    for i in sorted(kept):
-        left = []
-        for chunk, n, words in line_chunks.cut(kept[i]):
-            if line_chunks.counts(n, words):
-                if chunk in seen:
-                    continue
-                seen.add(chunk)
-            left.append(chunk)
-        if "\n".join(left).strip():
-            expected[i] = "\n".join(left)
+    expected = {i: t for i, t in without_runs(kept).items() if t.strip()}
     assert {r["doc_id"]: r["text"] for r in second.collect()} == expected
 
     third = near(spark, second, FOLDER)
@@ -105,9 +118,75 @@ def test_pipeline_stages(spark):
     assert fourth.columns == docs.columns
     times = {r["doc_id"]: r["count"] for r in fourth.groupBy("doc_id").count().collect()}
     assert set(times) == staying
+    assert all(1 <= n <= 4 for n in times.values())
     assert tokens(spark, fourth, FOLDER).count() == sum(times.values())
 
 
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Nulls, empty texts, ties and further columns; and no rows at all."""
+    shape = "doc_id long, text string, lang string, source string, n_chars long, rate double, _row long, kept boolean"
+    words = " ".join(f"word{i}" for i in range(80)) + "."
+    rows = [
+        (None, words, None, None, None, 1.0, 1, True), (1, None, "en", "a", 0, None, None, None),
+        (2, "", "en", "a", 0, 1.0, 2, False), (3, words, "en", "a", 5, 1.0, 3, True),
+        (3, words, "en", "a", 5, 1.0, 3, True), (4, words + " More.", "en", "b", 9, 1.0, 4, True),
+    ]
+    labels = spark.createDataFrame([(3, 1, 0), (4, None, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
+    for name, some in (("odd", rows), ("none", [])):
+        folder = str(tmp_path / name)
+        spark.createDataFrame(some, shape).write.parquet(f"{folder}/documents.parquet")
+        labels.where("true" if some else "false").write.parquet(f"{folder}/labels.parquet")
+        found = corpus_pipeline.run(spark, folder)
+        assert found.columns[:1] == ["doc_id"]
+        # One text of the copies stays, as often as the mix takes it.
+        assert len({r["decoded_sha256"] for r in found.collect()}) == (1 if some else 0)
+
+
+def test_rates_match_a_dense_solver(spark):
+    """Rates between bounds against projected gradient steps on whole arrays, run to the end."""
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet([4.0, 0.6, 0.4], 300)
+    t = rng.integers(20, 90, 300).astype(float)
+    scored = spark.createDataFrame([(int(n), [float(x) for x in row]) for n, row in zip(t, p)], "n_tokens long, posterior array<double>")
+    model = mixing.Classifier(list(mixing.DOMAINS), [1 / 3] * 3, [])
+    for bounds in ((0.0, float("inf")), (0.5, 1.5), (1.0, 4.0)):
+        mix = mixing.solve(scored, model, bounds=bounds)
+        found = np.array([r[0] for r in scored.select(mix.rate(F.col("posterior"))).collect()])
+        share = t / t.sum()
+        gram = np.linalg.inv((p * share[:, None]).T @ p + mixing.PULL * np.eye(3))
+        goal = mix.start * np.array(list(mixing.TARGETS.values()))
+        rate = np.clip(np.full(300, mix.start), *bounds)
+        for _ in range(20_000):
+            slope = p @ gram @ (share * rate @ p - goal) + mixing.PULL * (rate - mix.start)
+            rate = np.clip(rate - slope, *bounds)
+
+        def squares(r):
+            miss = share * r @ p - goal
+            return (miss @ gram @ miss + mixing.PULL * (share * (r - mix.start) ** 2).sum()) / 2
+
+        assert squares(found) <= 1.001 * squares(rate) + 1e-6, bounds
+        assert np.allclose(share * found @ p, share * rate @ p, atol=2e-3), bounds
+
+
+def test_posterior_matches_counts_by_hand(spark):
+    """Weights and calibration inputs against counts made word by word."""
+    rows, labels = make_mix(60)
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = mixing.learn(documents, known)
+    names = list(mixing.DOMAINS)
+    own = {i: 2 if toxic else 0 if quality else 1 for i, quality, toxic in labels}
+    sets = {i: set(text.split()) for i, text in rows if i in own}
+    for word in ("alpha", "xx|", "vile"):
+        place = spark.range(1).select(F.pmod(F.xxhash64(F.lit(word)), F.lit(mixing.FEATURES))).first()[0]
+        whole = sum(word in s for s in sets.values())
+        for d in range(len(names)):
+            here = sum(word in s for i, s in sets.items() if own[i] == d)
+            texts = sum(o == d for o in own.values())
+            expected = np.log((here + 1.0) / (texts * whole / len(own) + 1.0))
+            assert abs(model.weights[d][place] - expected) < 1e-4
+
+
 def rare_scored(spark, n=4000):
     """Posteriors with one domain in a hundredth of the rows."""
     rng = random.Random(4)
