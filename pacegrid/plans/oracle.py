@@ -907,6 +907,11 @@ ORACLE |= {
         FROM run_best JOIN labels ON distance_label = name""",
         _UNIQUE_BEST,
     ),
+    "ingest_rejects": sql(
+        EFFORTS,
+        """SELECT 'moving_time' AS column_name, 'n/a' AS value, count(*) AS n_rows
+        FROM run_best WHERE id % 3 = 0 AND id % 4 = 0 HAVING count(*) > 0""",
+    ),
     "enrich_incremental": ORACLE["enrich_activities"],
     "files_to_gold": sql(
         "labels priorities",

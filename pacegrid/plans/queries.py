@@ -820,7 +820,7 @@ def store_replace_groups(t: Tables) -> DataFrame:
     return store.read("best")
 
 
-def _effort_files(t: Tables, folder: str, name: Column) -> None:
+def _effort_files(t: Tables, folder: str, name: Column, moving: Column | None = None) -> None:
     """Raw effort files of three layouts: other orders and columns, whole numbers written with
     a fraction, a byte order mark, and names that may hold line breaks and quotes."""
     text = t.run_best().select(
@@ -831,7 +831,7 @@ def _effort_files(t: Tables, folder: str, name: Column) -> None:
         dict_text(F.col("athlete_id"), ", 'team': None").alias("athlete"),
         F.col("elapsed_time").cast("string").alias("elapsed_time"),
         F.col("elapsed_time").cast("double").cast("string").alias("fraction"),
-        "moving_time",
+        (F.col("moving_time") if moving is None else moving).alias("moving_time"),
         F.date_format("start_date", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("start_date"),
         "distance",
     )
@@ -865,6 +865,17 @@ def ingest_mixed_headers(t: Tables) -> DataFrame:
     return best.withColumn("start_date", F.col("start_date").cast("date"))
 
 
+@query
+def ingest_rejects(t: Tables) -> DataFrame:
+    """Values that their column cannot take, kept by an ingest: how many of each."""
+    folder = work_folder(t.spark, "rejects")
+    late = F.when(F.col("id") % 4 == 0, "n/a").when(F.col("id") % 4 == 1, "").otherwise(F.col("moving_time").cast("string"))
+    _effort_files(t, folder, F.col("name"), late)
+    ingest.ingest_folder(t.spark, f"{folder}/raw", f"{folder}/lake")
+    rejected = Store(t.spark, f"{folder}/lake").read("bronze/Rejected")
+    return rejected.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query
 def enrich_incremental(t: Tables) -> DataFrame:
     """Two loads of points and summaries: either may come first, metrics are those of one load."""

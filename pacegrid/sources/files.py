@@ -50,6 +50,34 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 #: Different headers that one read may meet.
 MAX_LAYOUTS = 1000
+def _unread(df: DataFrame, schema: T.StructType) -> dict[str, Column]:
+    """By column that is text in ``df``: whether it has a text that its declared type cannot
+    take. Blank texts are gaps."""
+    found = {}
+    for field in schema.fields:
+        if dict(df.dtypes).get(field.name) == "string" and not isinstance(field.dataType, T.StringType):
+            text = F.col(field.name)
+            gap = F.trim(text).isin("", "nan", "NaN")
+            found[field.name] = text.isNotNull() & ~gap & parse_text(text, field.dataType).isNull()
+    return found
+
+
+def count_unread(df: DataFrame, schema: T.StructType) -> list[Column]:
+    """Aggregates: how many texts of each column the declared type cannot take."""
+    return [F.count_if(bad).alias(name) for name, bad in _unread(df, schema).items()]
+
+
+def unread_values(df: DataFrame, schema: T.StructType, keep: list[str]) -> DataFrame:
+    """``keep, column_name, value``: a row for each text that became NULL."""
+    each = [
+        F.when(bad, F.struct(F.lit(name).alias("column_name"), F.col(name).alias("value")))
+        for name, bad in _unread(df, schema).items()
+    ]
+    if not each:
+        return df.select(*keep, F.lit("").alias("column_name"), F.lit("").alias("value")).where("false")
+    return df.select(*keep, F.inline(F.array_compact(F.array(*each))))
+
+
 # A separator that no raw file holds: a line is read as one value, with its encoding.
 _NO_SEPARATOR = "\u0001"
 

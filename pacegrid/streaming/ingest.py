@@ -12,14 +12,23 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pacegrid.schema import columns
 from pacegrid.sources.clean import clean_best, clean_segments
-from pacegrid.sources.files import activity_id_of_file, as_pattern, conform, file_kind, raw_lines, read_records
+from pacegrid.sources.files import (
+    activity_id_of_file,
+    as_pattern,
+    conform,
+    count_unread,
+    file_kind,
+    raw_lines,
+    read_records,
+    unread_values,
+)
 from pacegrid.sources.layers import load_layers
 from pacegrid.sources.store import Load, Store, read_text, replace_text
 from pacegrid.sources.tables import insert_only
@@ -60,13 +69,10 @@ def raw_files(spark: SparkSession, folder: str) -> DataFrame:
     return named.where(~F.col("file_name").isin(OWN_OUTPUTS))
 
 
-def raw_rows(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    """The declared columns and ``file_name``; each file is read under its own header."""
-    whole = T.StructType([*schema.fields, T.StructField("file_name", T.StringType())])
-    if not paths:
-        return spark.createDataFrame([], whole)
-    lines = raw_lines(spark.read, [as_pattern(p) for p in paths])
-    return conform(read_records(spark, lines, schema, escape='"'), whole)
+def raw_texts(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """The declared columns that the files have, as text, and ``file_name``; each file is read
+    under its own header."""
+    return read_records(spark, raw_lines(spark.read, [as_pattern(p) for p in paths]), schema, escape='"')
 
 
 def stream_points(rows: DataFrame) -> DataFrame:
@@ -97,14 +103,25 @@ RAW = {
 
 
 def load_files(load: Load, files: DataFrame) -> None:
-    """Bring raw files, ``path, file_name``, into the bronze and silver tables of a load."""
+    """Bring raw files, ``path, file_name``, into the bronze and silver tables of a load.
+
+    Texts that a declared type cannot take become NULL there; they are kept by file and column
+    in ``bronze/Rejected``. The pass that brings the files in counts them.
+    """
     # The driver knows the paths already, as it has listed the folder.
     paths: dict[str, list[str]] = {kind: [] for kind in RAW}
     for row in files.select("path", file_kind(F.col("file_name")).alias("kind")).collect():
         paths[row.kind].append(row.path)
     for kind, (schema, table, tidy) in RAW.items():
-        if paths[kind]:
-            load_layers(load, tidy(raw_rows(load.spark, paths[kind], schema)), table)
+        if not paths[kind]:
+            continue
+        whole = T.StructType([*schema.fields, T.StructField("file_name", T.StringType())])
+        texts, unread = raw_texts(load.spark, paths[kind], schema), Observation()
+        texts = load.staged(texts.observe(unread, F.count(F.lit(1)).alias("n_rows"), *count_unread(texts, schema)))
+        if sum(unread.get.values()) > unread.get["n_rows"]:
+            values = unread_values(texts, schema, ["file_name"])
+            load.append("bronze/Rejected", values, ["file_name"])
+        load_layers(load, tidy(conform(texts, whole)), table)
 
 
 def ingest_id(spark: SparkSession, checkpoint: str) -> str:

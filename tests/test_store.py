@@ -192,6 +192,18 @@ def test_records_with_line_breaks_marks_and_other_headers(spark, tmp_path):
     ]
 
 
+def test_values_that_do_not_parse_are_kept(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "lake")
+    raw.mkdir()
+    (raw / "x_run_1.csv").write_text("time_s,lat,hr_bpm\n1,north,120\n2,10.5,high\n3,nan,\n4,5,99999\n")
+    (raw / "y_best.csv").write_text("id,name,activity,athlete\n1,5K,{'id': 5},{'id': 7}\n")
+    ingest.ingest_folder(spark, str(raw), root)
+    found = rows_of(Store(spark, root).read("bronze/Rejected"))
+    assert found == [("x_run_1.csv", "hr_bpm", "high"), ("x_run_1.csv", "lat", "north")]
+    kept = pipeline.silver(spark, root, "RunStream").orderBy("time_s").collect()
+    assert [(r.lat, r.hr_bpm) for r in kept] == [(None, 120), (10.5, None), (None, None), (5.0, None)]
+
+
 def points(spark, *activities, n=5):
     rows = [(a, t, 10 + t * 0.001, 106.0, t * 111.0, float(t % 3), 100 + t) for a in activities for t in range(n)]
     return spark.createDataFrame(
