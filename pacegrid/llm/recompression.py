@@ -17,7 +17,8 @@ for alone, so equal substrings get equal symbols inside, in whichever document a
   of their words. A clash of the 64-bit names can only leave a window alive.
 
 Equal hashes are brought together by sorting over all tasks, so rows of one hash, however many,
-are spread like any others.
+are spread like any others. Texts are not shuffled: what is found about a document is looked up
+by its row number (``beside``).
 
 Defined results: a null or empty text has no words; a row without key comes after all others;
 rows with equal keys do not remove each other's words, as neither key is smaller; extra columns
@@ -40,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pacegrid.llm.arrow import map_arrow, slices
+from pacegrid.llm.beside import Beside, beside
 from pacegrid.llm.common import written
 
 #: Consecutive words that make up a repeat.
@@ -259,15 +261,17 @@ def named(rows: DataFrame) -> DataFrame:
     return map_arrow(rows.select("_row", "_text"), run, sql)
 
 
-def alive(names: DataFrame) -> DataFrame:
+def alive(names: DataFrame, known: Beside) -> DataFrame:
     """Documents with living windows, and these as stretches of first words, for rows of
-    ``named`` with the names that other documents have too, ``_shared``."""
+    ``named`` and beside them the names that other documents have too, ``_shared``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            flat = {c: batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("_names", "_lows", "_sizes", "_shared")}
+            flat = {c: batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("_names", "_lows", "_sizes")}
+            # A text of nothing but repeated words has no names and may yet be a repeat.
+            flat["_shared"] = known.find(batch.column("_row"))["_shared"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
             edges = np.concatenate([[0], np.cumsum(batch.column("_n").to_numpy().astype(np.int64) + 1)])
             own = np.repeat(edges[:-1], pc.list_value_length(batch.column("_names")).to_numpy())
             alone = ~np.isin(flat["_names"], flat["_shared"])
@@ -286,11 +290,21 @@ def alive(names: DataFrame) -> DataFrame:
 HASHED = "_row bigint, start int, stop int, hash binary"
 
 
-def revealed(rows: DataFrame) -> DataFrame:
-    """Long symbols, neighbours, and the whole of each document: ``_row, _key, start, stop, hash``."""
+def of_rows(batches: Iterable[pa.RecordBatch], windows: Beside) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Slices of the rows that have living windows, and these."""
+    for batch in slices(batches, "_text"):
+        found = windows.find(batch.column("_row"))["_windows"].combine_chunks()
+        have = pc.is_valid(found)
+        if pc.any(have).as_py():
+            yield batch.filter(have), found.filter(have)
+
+
+def revealed(rows: DataFrame, windows: Beside) -> DataFrame:
+    """Long symbols, neighbours, and the whole of each document with living windows:
+    ``_row, _key, start, stop, hash``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
+        for batch, _ in of_rows(batches, windows):
             texts = batch.column("_text").to_pylist()
             words, edges = word_names(texts)
             now, level = Parse.of(words, edges), 0
@@ -333,14 +347,15 @@ def hashed(batch: pa.RecordBatch, own: list[int], found: list[tuple[int, int, by
     )
 
 
-def verified(rows: DataFrame) -> DataFrame:
+def verified(rows: DataFrame, windows: Beside, known: Beside) -> DataFrame:
     """The living windows outside settled stretches, as ``revealed`` gives stretches."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
-            texts, settled = batch.column("_text").to_pylist(), batch.column("_settled").to_pylist()
+        for batch, living_ in of_rows(batches, windows):
+            texts = batch.column("_text").to_pylist()
+            settled = known.find(batch.column("_row"))["_settled"].to_pylist()
             own, found = [], []
-            for i, spans in enumerate(batch.column("_windows").to_pylist()):
+            for i, spans in enumerate(living_.to_pylist()):
                 joined, offsets = joined_words(texts[i])
                 marks = covered(len(offsets) - 1, pairs_of(spans))
                 for start, stop in pairs_of(settled[i]):
@@ -353,8 +368,12 @@ def verified(rows: DataFrame) -> DataFrame:
                     own, found = [], []
             yield hashed(batch, own, found)
 
-    columns = rows.select("_row", "_key", "_text", "_windows", "_settled")
-    return map_arrow(columns, run, T.StructType([rows.schema["_key"], *_hashed().fields]))
+    return map_arrow(rows.select("_row", "_key", "_text"), run, T.StructType([rows.schema["_key"], *_hashed().fields]))
+
+
+#: Kinds of rows of a sorted task: one that comes after another key, one of the task's first
+#: hash, and the beginnings of the first and of the last hash.
+LATER, OPEN, EDGE = 0, 1, 2
 
 
 def of_earlier(found: DataFrame) -> DataFrame:
@@ -362,11 +381,18 @@ def of_earlier(found: DataFrame) -> DataFrame:
     key has too.
 
     In the order of hash and key, a row of a hash that comes after a change of key is one. A
-    task does not know how its first hash began; rows of that one are looked up.
+    task does not know how its first hash began; tasks tell one another by two rows each.
     """
+    names = found.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, changed, first = None, False, True
+        last, head, changed, first = None, None, 0, True
+
+        def kind(rows: pa.RecordBatch, which: int) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.array([which] * rows.num_rows, pa.int32())], [*names, "_kind"]
+            )
+
         for batch in batches:
             n = batch.num_rows
             if not n:
@@ -377,35 +403,43 @@ def of_earlier(found: DataFrame) -> DataFrame:
             new, other = differs(hashes), differs(keys)
             if last is None:
                 new, other = np.append(True, new), np.append(False, other)
+                yield kind(batch.slice(0, 1), EDGE)
             # By row: changes of key so far, and as many as there were where its hash began.
-            other = other & ~new
-            seen = np.cumsum(other) + changed
-            begun = np.where(new, seen, 0)
-            later = seen > np.maximum.accumulate(np.append(0, begun))[1:]
+            seen = np.cumsum(other & ~new) + changed
+            later = seen > np.maximum.accumulate(np.append(0, np.where(new, seen, 0)))[1:]
             changed = int(later[-1])
             heads = np.flatnonzero(new)
             unknown = np.zeros(n, bool)
             if first:
-                stop = n
-                if last is None and len(heads) > 1:
-                    stop, first = int(heads[1]), False
-                elif last is not None and len(heads):
-                    stop, first = int(heads[0]), False
-                unknown[:stop] = True
+                beyond = heads[1:] if last is None else heads
+                first = not len(beyond)
+                unknown[: n if first else int(beyond[0])] = True
+            if len(heads):
+                head = batch.slice(int(heads[-1]), 1)
             last = (hashes.slice(len(hashes) - 1), keys.slice(len(keys) - 1))
-            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(unknown)], [*batch.schema.names, "_open"])
-            yield out.filter(pa.array(later | unknown))
+            yield kind(batch.filter(pa.array(unknown)), OPEN)
+            yield kind(batch.filter(pa.array(later & ~unknown)), LATER)
+        if head is not None:
+            yield kind(head, EDGE)
 
     place = ["hash", F.asc_nulls_last("_key"), "_row", "start"]
     dealt = found.repartitionByRange(*place).sortWithinPartitions(*place)
-    late = written(map_arrow(dealt, run, T.StructType([*found.schema.fields, T.StructField("_open", T.BooleanType())])), "recompression-late")
-    # One hash for each task at most.
-    open_rows = late.where("_open")
-    hashes = F.broadcast(open_rows.select("hash").distinct())
-    first = found.join(hashes, "hash").groupBy("hash").agg(F.min("_key").alias("_first")).where("_first IS NOT NULL")
-    known = open_rows.join(F.broadcast(first), "hash").where("_key IS NULL OR _first < _key")
+    made = T.StructType([*found.schema.fields, T.StructField("_kind", T.IntegerType())])
+    rows = written(map_arrow(dealt, run, made), "recompression-late")
+    # Two rows for each task at most.
+    edges = rows.where(F.col("_kind") == EDGE).groupBy("hash").agg(F.min("_key").alias("_first")).toArrow()
+    first = dict(zip(edges["hash"].to_pylist(), edges["_first"].to_pylist()))
     columns = ["_row", "start", "stop"]
-    return late.where("NOT _open").select(*columns).unionByName(known.select(*columns))
+
+    def known(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("hash").to_pylist(), batch.column("_key").to_pylist())
+            own = pa.array([first[h] is not None and (k is None or first[h] < k) for h, k in pairs], pa.bool_())
+            yield batch.select(columns).filter(own)
+
+    open_rows = rows.where(F.col("_kind") == OPEN).select("hash", "_key", *columns)
+    found_open = map_arrow(open_rows, known, "_row bigint, start int, stop int")
+    return rows.where(F.col("_kind") == LATER).select(*columns).unionByName(found_open)
 
 
 def differs(values: pa.Array) -> np.ndarray:
@@ -437,22 +471,21 @@ def united(spans: DataFrame) -> DataFrame:
     return map_arrow(by_row, run, f"_row bigint, _spans {SPANS}")
 
 
-def removed_spans(rows: DataFrame) -> DataFrame:
-    """``_row, _spans`` of what goes, for rows ``_row, _key, _text`` of distinct ``_row``."""
+def removed_spans(rows: DataFrame) -> Beside:
+    """``_row, _spans`` of what goes, for a written table ``_row, _key, _text`` in the order of
+    its numbers."""
     names = written(named(rows), "recompression-names")
     each = names.select("_row", F.explode(F.array_distinct("_names")).alias("name"))
     # Documents name a symbol once, so a count over 1 means two documents.
     shared = each.groupBy("name").count().where("count > 1").select("name")
     known = each.join(shared, "name").groupBy("_row").agg(F.collect_list("name").alias("_shared"))
-    # A text of nothing but repeated words has no names and may yet be a repeat.
-    windows = written(alive(names.join(known, "_row", "left")), "recompression-alive")
-    # Of small tables: Spark broadcasts those that are, and sorts and merges others.
-    texts = rows.join(windows, "_row")
-    settled = written(of_earlier(written(revealed(texts), "recompression-symbols")), "recompression-settled")
+    windows = beside(alive(names, beside(known, "recompression-shared")), "recompression-alive")
+    symbols = written(revealed(rows, windows), "recompression-symbols")
+    settled = written(of_earlier(symbols), "recompression-settled")
     by_row = settled.groupBy("_row").agg(F.collect_list(F.struct("start", "stop")).alias("_settled"))
-    by_row = written(by_row, "recompression-settled-rows")
-    found = written(verified(texts.join(by_row, "_row", "left")), "recompression-windows")
-    return written(united(settled.unionByName(of_earlier(found))), "recompression-spans")
+    found = verified(rows, windows, beside(by_row, "recompression-settled-rows"))
+    found = written(found, "recompression-windows")
+    return beside(united(settled.unionByName(of_earlier(found))), "recompression-spans")
 
 
 def dedup_substrings(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -475,7 +508,8 @@ def dedup_substrings(documents: DataFrame, key: str = "doc_id", text: str = "tex
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
             out, total, gone, places = [], [], [], []
-            for t, found in zip(batch.column("_text").to_pylist(), batch.column("_spans").to_pylist()):
+            removed = spans.find(batch.column("_row"))["_spans"].to_pylist()
+            for t, found in zip(batch.column("_text").to_pylist(), removed):
                 words = (t or "").encode().split()
                 drop = covered(len(words), pairs_of(found))
                 out.append(None if t is None else b" ".join(w for w, d in zip(words, drop.tolist()) if not d).decode())
@@ -493,9 +527,8 @@ def dedup_substrings(documents: DataFrame, key: str = "doc_id", text: str = "tex
                 ["_rest", "_text", *named_],
             )
 
-    joined = rows.join(spans, "_row", "left").select("_rest", "_text", "_spans")
     made = T.StructType.fromDDL(f"_text string, n_words bigint, n_removed bigint, removed {SPANS}")
-    done = map_arrow(joined, run, T.StructType([rows.schema["_rest"], *made.fields]))
+    done = map_arrow(rows.select("_row", "_rest", "_text"), run, T.StructType([rows.schema["_rest"], *made.fields]))
 
     def column(name: str) -> Column:
         return F.col("_text").alias(text) if name == text else F.col("_rest")[name].alias(name)

@@ -123,6 +123,33 @@ def test_names_thin_out_with_levels():
     assert high.start[0] == 0 and (np.diff(high.start) > 0).all()
 
 
+def test_rows_of_one_hash_over_many_tasks(spark):
+    """A hash with most of the rows spans tasks; others begin and end at their edges."""
+    draw = random.Random(6)
+    rows = []
+    for i in range(3000):
+        digest = b"hot" if i % 3 else bytes([draw.randrange(40)])
+        rows.append((draw.choice([None, 5, 5, 6, 7, draw.randrange(5, 900)]), i, 0, 50, digest))
+    rows += [(None, 5000 + i, 0, 50, b"none") for i in range(50)]
+    shape = "_key bigint, _row bigint, start int, stop int, hash binary"
+    first = {}
+    for key, _, _, _, digest in rows:
+        if key is not None:
+            first[digest] = min(first.get(digest, key), key)
+    expected = {r for k, r, _, _, h in rows if h in first and (k is None or first[h] < k)}
+    table = recompression.written(spark.createDataFrame(rows, shape), "test")
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "23"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            found = [r._row for r in recompression.of_earlier(table).collect()]
+            assert len(found) == len(expected) and set(found) == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_words_are_split_and_named_alike():
     texts = ["a b", None, "", " b\ta\x0bb ", "\x1ca \x85", "ab"]
     names, edges = word_names(texts)
