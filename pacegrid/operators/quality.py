@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -40,6 +40,18 @@ class TableChecks:
     unique: bool = False
     unique_combo: bool = False
 
+    def row_counts(self) -> list[Column]:
+        """The checks that rows answer one by one, as aggregates for a pass over them."""
+        counts = [F.count_if(F.col(c).isNull()) for c in self.not_null]
+        return counts + [F.count_if(~F.col(c).isin(values)) for c, values in self.accepted.items()]
+
+    def row_names(self) -> list[str]:
+        return [f"not_null_{c}" for c in self.not_null] + [f"accepted_values_{c}" for c in self.accepted]
+
+    def of_keys(self, df: DataFrame) -> TableChecks:
+        """The checks that need rows together, over another table."""
+        return replace(self, df=df, not_null=[], accepted={})
+
     def failures(self) -> DataFrame:
         """``test, n_failures`` from one grouping of the table by ``key``."""
         n = F.col("n")
@@ -72,6 +84,28 @@ def quality_suite(checks: Iterable[TableChecks]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("n_failures") == 0)
 
 
+def checked(
+    df: DataFrame, checks: list[TableChecks], write: Callable[[DataFrame], DataFrame]
+) -> list[tuple[str, int]]:
+    """Write a table and check it: ``test, n_failures`` of its checks.
+
+    Rows are counted in the pass that writes them; only keys are counted over the written
+    table, which ``write`` gives back. Nothing is computed twice.
+    """
+    seen = Observation()
+    columns = [F.count(F.lit(1)).alias("n_rows")]
+    for place, check in enumerate(checks):
+        columns += [c.alias(f"{place}.{n}") for c, n in zip(check.row_counts(), check.row_names())]
+    after = write(df.observe(seen, *columns))
+    found = []
+    for place, check in enumerate(checks):
+        found += [(f"{check.table}.{n}", int(seen.get[f"{place}.{n}"] or 0)) for n in check.row_names()]
+        if check.unique or check.unique_combo:
+            # A row for each test.
+            found += [(r.test, r.n_failures) for r in check.of_keys(after).failures().collect()]
+    return found
+
+
 def gold_checks(
     dim_date: DataFrame,
     start_location: DataFrame,

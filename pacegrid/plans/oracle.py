@@ -920,6 +920,7 @@ ORACLE |= {
         FROM trend t JOIN labels l ON l.distance_label = t.distance_label""",
         [*_UNIQUE_BEST, f"trend AS ({PARTS['trend']})"],
     ),
+    "gold_checks_on_write": ORACLE["quality_suite"],
     "one_athlete_recent": _one("recent_20", "athlete_id"),
     "one_athlete_bests": _one("personal_bests", "athlete_id"),
     "one_athlete_history": _one("history_monthly", "athlete_id"),

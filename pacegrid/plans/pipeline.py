@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacegrid import schema
-from pacegrid.operators import calendar, forecast, streams, trend
+from pacegrid.operators import calendar, forecast, quality, streams, trend
 from pacegrid.operators.dedupe import dedupe_on
 from pacegrid.operators.joins import salted_join
 from pacegrid.sources import tables
@@ -121,25 +121,40 @@ def run(spark: SparkSession, folder: str, root: str, summaries: DataFrame, profi
         load.commit()
 
 
-def build_gold(spark: SparkSession, root: str, as_of: dt.date, races: DataFrame) -> None:
+def build_gold(spark: SparkSession, root: str, as_of: dt.date, races: DataFrame) -> DataFrame:
     """Rebuild the calendar, start points and labels; replace trend and forecast groups; all in
-    one load."""
+    one load.
+
+    Gives ``test, n_failures, passed`` of the gold checks. Rows are checked in the passes that
+    write them, keys over the written tables.
+    """
     load = Store(spark, root).load()
     activities = silver(spark, root, "Activities")
     efforts = silver(spark, root, "RunBest")
-    rebuilt = {
-        "dim_date": calendar.dim_date(activities, as_of),
-        "activity_start_location": streams.first_gps_point(
-            activities, silver(spark, root, "RunStream")
-        ),
-        "dim_distance_label": tables.seed_labels(spark),
-    }
-    for name, df in rebuilt.items():
-        load.refresh(f"gold/{name}", conform(df, schema.GOLD[name]), [schema.GOLD[name].names[0]])
-    fits = trend.pb_trend(efforts, as_of)
-    load.replace("gold/PBPrediction", conform(fits, schema.PB_PREDICTION), ["athlete_id", "distance_label"])
+    empty = {name: spark.createDataFrame([], shape) for name, shape in schema.GOLD.items()}
+    checks = quality.gold_checks(*empty.values(), schema.METHODS)
+    found: list[tuple[str, int]] = []
+
+    def bring(name: str, df: DataFrame, groups: list[str] | None = None) -> None:
+        table, shape = f"gold/{name}", schema.GOLD[name]
+
+        def write(rows: DataFrame) -> DataFrame:
+            if groups:
+                load.replace(table, rows, groups)
+            else:
+                load.refresh(table, rows, shape.names[:1])
+            return load.read(table, shape)
+
+        found.extend(quality.checked(conform(df, shape), [c for c in checks if c.table == name], write))
+
+    bring("dim_date", calendar.dim_date(activities, as_of))
+    points = silver(spark, root, "RunStream")
+    bring("activity_start_location", streams.first_gps_point(activities, points))
+    bring("dim_distance_label", tables.seed_labels(spark))
+    bring("PBPrediction", trend.pb_trend(efforts, as_of), ["athlete_id", "distance_label"])
     fits = load.read("gold/PBPrediction", schema.PB_PREDICTION).where(F.col("prediction_date") == F.lit(as_of))
     backtest = forecast.race_backtest(races, efforts, activities, trend=fits)
-    keys = ["athlete_id", "target_distance_label", "method"]
-    load.replace("gold/RaceForecast", conform(backtest, schema.RACE_FORECAST), keys)
+    bring("RaceForecast", backtest, ["athlete_id", "target_distance_label", "method"])
     load.commit()
+    rows = [(test, n, n == 0) for test, n in found]
+    return spark.createDataFrame(rows, "test string, n_failures bigint, passed boolean")

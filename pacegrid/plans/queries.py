@@ -962,6 +962,17 @@ def quality_suite(t: Tables) -> DataFrame:
     return quality.quality_suite(checks)
 
 
+@query
+def gold_checks_on_write(t: Tables) -> DataFrame:
+    """The gold checks as the load that builds gold finds them."""
+    root = work_folder(t.spark, "gold")
+    load = Store(t.spark, root).load()
+    for name, df in (("Activities", t.activities()), ("RunBest", t.run_best()), ("RunStream", t.stream())):
+        load.append(f"silver/{name}", files.conform(df, schema.SILVER[name]), ["activity_id"])
+    load.commit()
+    return pipeline.build_gold(t.spark, root, AS_OF, t.races())
+
+
 @query
 def quality_violations(t: Tables) -> DataFrame:
     """Each check over raw tables that break it: the number of rows it returns."""

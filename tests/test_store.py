@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pacegrid import schema
-from pacegrid.operators import calendar
+from pacegrid.operators import calendar, quality
 from pacegrid.plans import pipeline
 from pacegrid.sources import store as stores
 from pacegrid.sources.layers import load_layers
@@ -259,12 +259,33 @@ def test_gold_is_rebuilt_in_one_load(spark, tmp_path, monkeypatch):
         "actual_sec int, elev_gain_m double, distance_km double",
     )
     loads = Store(spark, root).state()["loads"]
-    pipeline.build_gold(spark, root, dt.date(2024, 6, 1), races)
+    found = pipeline.build_gold(spark, root, dt.date(2024, 6, 1), races).collect()
+    assert len(found) == 17 and all(r.passed and r.n_failures == 0 for r in found)
     state = Store(spark, root).state()
     assert state["loads"] == loads + 1
     assert {f"gold/{name}" for name in schema.GOLD} <= set(state["tables"])
 
 
+def test_checks_of_a_table_as_it_is_written(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1, "x", "a"), (1, "x", "a"), (None, "y", "b"), (2, None, "c")], "id int, method string, label string"
+    )
+    checks = [
+        quality.TableChecks("t", df, ["id", "method"], ["id", "method"], {"method": ["x"]}, unique_combo=True),
+        quality.TableChecks("t", df, ["id"], ["id"], unique=True),
+    ]
+    store = Store(spark, str(tmp_path))
+    load = store.load()
+
+    def write(rows):
+        load.refresh("t", rows, ["id"])
+        return load.read("t")
+
+    found = quality.checked(df, checks, write)
+    expected = {(r.test, r.n_failures) for r in quality.quality_suite(checks).collect()}
+    assert set(found) == expected and len(found) == 6
+
+
 def test_filters_reach_both_ways(spark):
     make = lambda rows, shape: spark.createDataFrame(rows, shape)
     left = calendar.filter_both_ways(
