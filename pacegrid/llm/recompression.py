@@ -433,13 +433,13 @@ def of_earlier(found: DataFrame) -> DataFrame:
 
     def known(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = zip(batch.column("hash").to_pylist(), batch.column("_key").to_pylist())
-            own = pa.array([first[h] is not None and (k is None or first[h] < k) for h, k in pairs], pa.bool_())
-            yield batch.select(columns).filter(own)
+            kinds = batch.column("_kind").to_pylist()
+            pairs = zip(kinds, batch.column("hash").to_pylist(), batch.column("_key").to_pylist())
+            own = [k == LATER or (first[h] is not None and (key is None or first[h] < key)) for k, h, key in pairs]
+            yield batch.select(columns).filter(pa.array(own, pa.bool_()))
 
-    open_rows = rows.where(F.col("_kind") == OPEN).select("hash", "_key", *columns)
-    found_open = map_arrow(open_rows, known, "_row bigint, start int, stop int")
-    return rows.where(F.col("_kind") == LATER).select(*columns).unionByName(found_open)
+    late = rows.where(F.col("_kind") != EDGE).select("_kind", "hash", "_key", *columns)
+    return map_arrow(late, known, "_row bigint, start int, stop int")
 
 
 def differs(values: pa.Array) -> np.ndarray:
