@@ -92,6 +92,28 @@ def test_nested_id(spark):
     assert [r.x for r in got] == [*cases.values(), None]
 
 
+def test_nested_id_by_one_pattern(spark):
+    """Raw texts are answered by the pattern alone; what it takes is what parsing finds."""
+    raw = [
+        "{'id': 12, 'resource_state': 1}",
+        "{'resource_state': 1, 'map': {'id': 5, 'kind': None}, 'id': 34, 'team': None}",
+        " {\"a\": [1, 'x', -2.5], 'b': {}, \"id\": -7, 'c': True}\n",
+        "{'name': 'it\" is', 'id': 0}",
+    ]
+    odd = [
+        "{'id': 1, 'id': 2}", "{'id': 01}", "{'id': 1.5}", "{'id': 1,}", "{'id': 1} x", "{'id': 1}{}",
+        "{'id': 99999999999999999999}", "{'a': {'b': {'id': 4}}, 'id': 3}", "{'a': 'b\\'id', 'id': 6}",
+        "{'a': 1 'id': 2}", "{'a': abc, 'id': 2}", "['id', 1]", "{'a': [1,], 'id': 2}", "", "{}",
+    ]
+    s = F.col("s")
+    by_pattern = F.regexp_extract(s, text._PLAIN_DICT, 1).try_cast("bigint")
+    got = strings(spark, [*raw, *odd]).select(
+        "s", by_pattern.alias("p"), text.nested_id(s).alias("x"), text._parsed_id(s).alias("y")
+    ).collect()
+    assert [r.p for r in got if r.s in raw] == [12, 34, -7, 0]
+    assert [r for r in got if r.x != r.y or (r.p is not None and r.p != r.y)] == []
+
+
 def test_utc_timestamp(spark):
     got = strings(spark, ["2024-05-01T06:00:00Z", "2024-05-01T06:00:00+02:00", "nonsense", None])
     rows = got.select(text.utc_timestamp(F.col("s")).cast("string").alias("x")).collect()
