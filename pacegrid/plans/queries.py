@@ -845,12 +845,12 @@ def _effort_files(t: Tables, folder: str, name: Column, moving: Column | None =
     places.mkdirs(hadoop_path(t.spark, f"{folder}/raw"))
     for i, layout in enumerate(layouts):
         own = layout.where(F.col("\ufeffid" if i == 2 else "id") % 3 == i)
-        own.write.option("header", True).option("escape", '"').csv(f"{folder}/layout-{i}")
+        own.write.option("header", True).option("escape", '"').csv(f"{folder}/layout-{i}", compression="gzip")
         # As many files as tasks wrote; a raw file is known by how its name ends.
         for found in places.listStatus(hadoop_path(t.spark, f"{folder}/layout-{i}")):
             part = found.getPath().getName()
-            if part.endswith(".csv"):
-                places.rename(found.getPath(), hadoop_path(t.spark, f"{folder}/raw/{i}-{part[:-4]}_best.csv"))
+            if part.endswith(".csv.gz"):
+                places.rename(found.getPath(), hadoop_path(t.spark, f"{folder}/raw/{i}-{part[:-7]}_best.csv.gz"))
 
 
 @query

@@ -32,8 +32,8 @@ def parse_text(text: Column, to: T.DataType) -> Column:
     return text.try_cast(to)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Exactly the declared columns, in order: missing ones NULL, unknown ones left out."""
+def _conformed(df: DataFrame, schema: T.StructType) -> list[Column]:
+    """The columns of ``conform``."""
     present = dict(df.dtypes)
     columns = []
     for field in schema.fields:
@@ -45,39 +45,39 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             # A value out of range is NULL; it must not stop the load.
             value = F.col(field.name).try_cast(field.dataType)
         columns.append(value.alias(field.name))
-    return df.select(*columns)
-
-
-#: Different headers that one read may meet.
-MAX_LAYOUTS = 1000
-def _unread(df: DataFrame, schema: T.StructType) -> dict[str, Column]:
-    """By column that is text in ``df``: whether it has a text that its declared type cannot
-    take. Blank texts are gaps."""
-    found = {}
-    for field in schema.fields:
-        if dict(df.dtypes).get(field.name) == "string" and not isinstance(field.dataType, T.StringType):
-            text = F.col(field.name)
-            gap = F.trim(text).isin("", "nan", "NaN")
-            found[field.name] = text.isNotNull() & ~gap & parse_text(text, field.dataType).isNull()
-    return found
+    return columns
 
 
-def count_unread(df: DataFrame, schema: T.StructType) -> list[Column]:
-    """Aggregates: how many texts of each column the declared type cannot take."""
-    return [F.count_if(bad).alias(name) for name, bad in _unread(df, schema).items()]
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Exactly the declared columns, in order: missing ones NULL, unknown ones left out."""
+    return df.select(*_conformed(df, schema))
 
 
-def unread_values(df: DataFrame, schema: T.StructType, keep: list[str]) -> DataFrame:
-    """``keep, column_name, value``: a row for each text that became NULL."""
-    each = [
-        F.when(bad, F.struct(F.lit(name).alias("column_name"), F.col(name).alias("value")))
-        for name, bad in _unread(df, schema).items()
-    ]
-    if not each:
-        return df.select(*keep, F.lit("").alias("column_name"), F.lit("").alias("value")).where("false")
-    return df.select(*keep, F.inline(F.array_compact(F.array(*each))))
+def conform_and_reject(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``conform`` and ``rejected``: an array of ``column_name, value`` of the texts that their
+    declared type cannot take and that became NULL, NULL if there is none. Blank texts are gaps."""
+    present = dict(df.dtypes)
+    texts = [
+        f.name for f in schema.fields
+        if present.get(f.name) == "string" and not isinstance(f.dataType, T.StringType)
+    ]
+    if not texts:
+        nothing = F.lit(None).cast("array<struct<column_name: string, value: string>>")
+        return conform(df, schema).withColumn("rejected", nothing)
+    # Side by side, so that each text is parsed once.
+    both = df.select(*_conformed(df, schema), *(F.col(n).alias(f"raw_{i}") for i, n in enumerate(texts)))
+    each, bad = [], F.lit(False)
+    for i, name in enumerate(texts):
+        text = F.col(f"raw_{i}")
+        lost = F.col(name).isNull() & text.isNotNull() & ~F.trim(text).isin("", "nan", "NaN")
+        each.append(F.when(lost, F.struct(F.lit(name).alias("column_name"), text.alias("value"))))
+        bad = bad | lost
+    rejected = F.when(bad, F.array_compact(F.array(*each)))
+    return both.select(*schema.names, rejected.alias("rejected"))
 
 
+#: Different headers that one read may meet.
+MAX_LAYOUTS = 1000
 # A separator that no raw file holds: a line is read as one value, with its encoding.
 _NO_SEPARATOR = "\u0001"
 
@@ -120,17 +120,16 @@ def read_records(
     """
     names = F.split(F.regexp_replace("header", '"', ""), ",")
     known = headers_of(lines).where(F.arrays_overlap(names, F.lit(schema.names)))
-    layouts = [row.header for row in known.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()]
+    # One pass over the lines. Without more headers than allowed, the driver gets the paths.
+    layouts = known.groupBy("header").agg(F.collect_list("path").alias("paths")).limit(MAX_LAYOUTS + 1).collect()
     if len(layouts) > MAX_LAYOUTS:
         raise ValueError(f"more than {MAX_LAYOUTS} different headers")
     declared = [n for n in schema.names if n != "file_name"]
     if not layouts:
         return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in [*declared, "file_name"]]))
-    paths: dict[str, list[str]] = {}
-    for row in known.collect():
-        paths.setdefault(row.header, []).append(row.path)
+    paths: dict[str, list[str]] = {row.header: row.paths for row in layouts}
     frames = []
-    for header in sorted(layouts):
+    for header in sorted(paths):
         names = next(csv.reader([header]))
         at = {n: i for i, n in reversed(list(enumerate(names))) if n in declared}
         shape = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
@@ -195,13 +194,13 @@ def land(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 def file_kind(file_name: Column) -> Column:
     """``best``, ``segments`` or ``stream`` from the name of a raw file."""
     return (
-        F.when(file_name.rlike(r"_best\.csv$"), "best")
-        .when(file_name.rlike(r"_segments\.csv$"), "segments")
+        F.when(file_name.rlike(r"_best\.csv(\.gz)?$"), "best")
+        .when(file_name.rlike(r"_segments\.csv(\.gz)?$"), "segments")
         .otherwise("stream")
     )
 
 
 def activity_id_of_file(file_name: Column) -> Column:
     """The number a raw file's name ends with; NULL if there is none."""
-    digits = F.regexp_extract(file_name, r"_(\d+)\.csv$", 1)
+    digits = F.regexp_extract(file_name, r"_(\d+)\.csv(?:\.gz)?$", 1)
     return F.nullif(digits, F.lit("")).try_cast("bigint")

@@ -43,6 +43,7 @@ POINTER = "current.json"
 SCRATCH = "scratch"
 LOAD, BUCKET = "store_load", "store_bucket"
 BUCKETS = 64
+COMPRESSION = "zstd"
 #: All buckets of a folder.
 ALL = "*"
 
@@ -194,9 +195,13 @@ class Load:
     def staged(self, df: DataFrame) -> DataFrame:
         """The rows written aside until the load commits, so that every pass sees the same."""
         path = f"{self.scratch}/{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        df.write.option("compression", COMPRESSION).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def holds(self, table: str) -> bool:
+        """Whether an earlier change has written rows of the table, or may have."""
+        return bool(self.state["tables"].get(table, {}).get("parts"))
+
     def read(self, table: str, schema: T.StructType | None = None, **some) -> DataFrame:
         """The table with what this load has changed; see ``_read`` for parts of it."""
         return _read(self.store, self.state, table, schema, **some)
@@ -229,9 +234,8 @@ class Load:
         name = self._folder(table, entry)
         placed = df.withColumn(BUCKET, bucket_of(keys, entry["buckets"]))
         # Large buckets are split, small ones joined, so that files are of even size.
-        placed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(
-            f"{self.store.root}/{table}/{LOAD}={name}"
-        )
+        writer = placed.hint("rebalance", BUCKET).write.mode("overwrite").option("compression", COMPRESSION)
+        writer.partitionBy(BUCKET).parquet(f"{self.store.root}/{table}/{LOAD}={name}")
         return name
 
     def _touched(self, df: DataFrame, entry: dict, keys: list[str]) -> list[int]:
@@ -239,11 +243,12 @@ class Load:
         rows = df.select(bucket_of(keys, entry["buckets"]).alias("b")).distinct().collect()
         return sorted(row.b for row in rows)
 
-    def append(self, table: str, batch: DataFrame, keys: list[str]) -> None:
-        """Add all rows."""
+    def append(self, table: str, batch: DataFrame, keys: list[str]) -> str:
+        """Add all rows; gives the name of their folder."""
         entry = self._entry(table, batch.schema, keys, "append")
         name = self._write(table, entry, batch, keys)
         entry["parts"][name] = ALL
+        return name
 
     def refresh(self, table: str, df: DataFrame, keys: list[str]) -> None:
         """Replace the whole table; ``df`` may read from it."""
@@ -255,16 +260,25 @@ class Load:
         name = self._write(table, entry, df, keys)
         entry["parts"] = {name: ALL}
 
-    def insert_only(self, table: str, batch: DataFrame, key: str) -> None:
-        """Add rows of unknown keys and rows without one: the first load of a key wins."""
+    def insert_only(self, table: str, batch: DataFrame, key: str, written: bool = False) -> None:
+        """Add rows of unknown keys and rows without one: the first load of a key wins.
+
+        Into an empty table the batch goes as it is, in one pass. Otherwise it is written aside
+        first, unless it is ``written`` already. The keys are those of the rows that were added.
+        """
         entry = self._entry(table, batch.schema, [key], "append")
-        batch = self.staged(batch)
-        keys = batch.where(F.col(key).isNotNull()).select(key).distinct()
-        known = self.known_keys(table, key, batch.schema[key].dataType, self._touched(keys, entry, [key]))
-        fresh = self.staged(keys.join(known, key, "left_anti"))
-        others = [c for c, t in batch.dtypes if c != key and not t.startswith("map")]
-        chosen = salted_join(batch, fresh, key, "left_semi", others or [key]).select(*batch.columns)
-        self.append(table, chosen.unionByName(batch.where(F.col(key).isNull())), [key])
+        if self.holds(table):
+            batch = batch if written else self.staged(batch)
+            keys = batch.where(F.col(key).isNotNull()).select(key).distinct()
+            known = self.known_keys(table, key, batch.schema[key].dataType, self._touched(keys, entry, [key]))
+            fresh = self.staged(keys.join(known, key, "left_anti"))
+            others = [c for c, t in batch.dtypes if c != key and not t.startswith("map")]
+            chosen = salted_join(batch, fresh, key, "left_semi", others or [key]).select(*batch.columns)
+            self.append(table, chosen.unionByName(batch.where(F.col(key).isNull())), [key])
+        else:
+            added = self.append(table, batch, [key])
+            keys = self.read(table, loads=[added]).select(key)
+            fresh = keys.where(F.col(key).isNotNull()).distinct()
         self.append(f"{table}.keys", fresh, [key])
 
     def known_keys(self, table: str, key: str, kind: T.DataType, buckets: list[int]) -> DataFrame:
@@ -286,8 +300,16 @@ class Load:
         entry["parts"] = {**{n: live for n, live in parts.items() if live}, name: touched}
 
     def upsert(self, table: str, batch: DataFrame, key: str) -> None:
-        """Replace every row of the batch's keys: the last load of a key wins."""
-        self.replace(table, batch, [key])
+        """Replace every row of the batch's keys: the last load of a key wins.
+
+        Into an empty table the batch goes as it is, in one pass.
+        """
+        if self.holds(table):
+            self.replace(table, batch, [key])
+            return
+        entry = self._entry(table, batch.schema, [key], "replace")
+        name = self._write(table, entry, batch, [key])
+        entry["parts"] = {name: list(range(entry["buckets"]))}
 
     def compact(self, table: str) -> None:
         """One folder of all rows of a table."""

@@ -22,12 +22,10 @@ from pacegrid.sources.clean import clean_best, clean_segments
 from pacegrid.sources.files import (
     activity_id_of_file,
     as_pattern,
-    conform,
-    count_unread,
+    conform_and_reject,
     file_kind,
     raw_lines,
     read_records,
-    unread_values,
 )
 from pacegrid.sources.layers import load_layers
 from pacegrid.sources.store import Load, Store, read_text, replace_text
@@ -58,15 +56,16 @@ PATHS = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def raw_files(spark: SparkSession, folder: str) -> DataFrame:
-    """A stream of the paths of raw files; sub-folders and other types are skipped.
+    """A stream of the paths of raw files, which may be gzipped; sub-folders and other types
+    are skipped.
 
     A run takes all new files as one batch: a load compares with what earlier runs have
     loaded, so files of one activity that arrive together stay together. The files' contents
     are not read here.
     """
-    files = spark.readStream.format("binaryFile").schema(PATHS).option("pathGlobFilter", "*.csv").load(folder)
+    files = spark.readStream.format("binaryFile").schema(PATHS).option("pathGlobFilter", "*.{csv,csv.gz}").load(folder)
     named = files.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"))
-    return named.where(~F.col("file_name").isin(OWN_OUTPUTS))
+    return named.where(~F.regexp_replace("file_name", r"\.gz$", "").isin(OWN_OUTPUTS))
 
 
 def raw_texts(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
@@ -116,12 +115,11 @@ def load_files(load: Load, files: DataFrame) -> None:
         if not paths[kind]:
             continue
         whole = T.StructType([*schema.fields, T.StructField("file_name", T.StringType())])
-        texts, unread = raw_texts(load.spark, paths[kind], schema), Observation()
-        texts = load.staged(texts.observe(unread, F.count(F.lit(1)).alias("n_rows"), *count_unread(texts, schema)))
-        if sum(unread.get.values()) > unread.get["n_rows"]:
-            values = unread_values(texts, schema, ["file_name"])
-            load.append("bronze/Rejected", values, ["file_name"])
-        load_layers(load, tidy(conform(texts, whole)), table)
+        rows, seen = conform_and_reject(raw_texts(load.spark, paths[kind], schema), whole), Observation()
+        rows = load.staged(tidy(rows).observe(seen, F.sum(F.array_size("rejected")).alias("n")))
+        if seen.get["n"]:
+            load.append("bronze/Rejected", rows.select("file_name", F.inline("rejected")), ["file_name"])
+        load_layers(load, rows, table, written=True)
 
 
 def ingest_id(spark: SparkSession, checkpoint: str) -> str:

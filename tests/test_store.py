@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -303,3 +305,40 @@ def test_filters_reach_both_ways(spark):
     }
     with pytest.raises(ValueError, match="branch"):
         calendar.filter_both_ways({}, [("a", "b", "k", True), ("c", "b", "k", True)])
+
+
+def test_a_first_load_is_written_once(spark, tmp_path):
+    """Into empty tables a batch goes in one pass; later ones are written aside and compared."""
+    store = Store(spark, str(tmp_path / "lake"))
+    load = store.load()
+    load.insert_only("t", batch(spark, (1, "a"), (1, "b"), (None, "c")), "k")
+    load.upsert("u", batch(spark, (1, "a"), (2, "b")), "k")
+    assert not os.path.exists(load.scratch)
+    load.commit()
+    load = store.load()
+    load.insert_only("t", batch(spark, (1, "x"), (2, "y"), (None, "z")), "k")
+    load.upsert("u", batch(spark, (2, "c"), (3, "d")), "k")
+    assert os.path.exists(load.scratch)
+    load.commit()
+    got = {n: sorted((r.k or 0, r.v) for r in store.read(n).collect()) for n in "tu"}
+    assert got == {
+        "t": [(0, "c"), (0, "z"), (1, "a"), (1, "b"), (2, "y")], "u": [(1, "a"), (2, "c"), (3, "d")]
+    }
+    assert sorted(r.k for r in store.read("t.keys").collect()) == [1, 2]
+
+
+def test_gzipped_files(spark, tmp_path):
+    raw, root = tmp_path / "raw", str(tmp_path / "lake")
+    raw.mkdir()
+    with gzip.open(raw / "a_run_1.csv.gz", "wt") as file:
+        file.write("time_s,lat,hr_bpm\n1,10.5,n/a\n2,,90\n")
+    (raw / "b_run_2.csv").write_text("hr_bpm,time_s\n99.0,2\n")
+    with gzip.open(raw / "segments.csv.gz", "wt") as file:
+        file.write("own,output\n1,2\n")
+    ingest.ingest_folder(spark, str(raw), root)
+    got = pipeline.silver(spark, root, "RunStream").orderBy("activity_id", "time_s").collect()
+    assert [(r.activity_id, r.time_s, r.lat, r.hr_bpm) for r in got] == [
+        (1, 1, 10.5, None), (1, 2, None, 90), (2, 2, None, 99)
+    ]
+    rejected = Store(spark, root).read("bronze/Rejected").collect()
+    assert [(r.file_name, r.column_name, r.value) for r in rejected] == [("a_run_1.csv.gz", "hr_bpm", "n/a")]
