@@ -33,8 +33,11 @@ def pb_trend(run_best: DataFrame, as_of: dt.date) -> DataFrame:
     prediction is the intercept.
     """
     x = F.datediff(F.col("date"), day(as_of)).cast("double")
+    # A group's sums are several times as wide as an effort: efforts of a group come together,
+    # where it is not too large, and are summed before sums are sent.
     fits = (
         _dated(run_best)
+        .hint("rebalance", "athlete_id", "distance_label")
         .groupBy("athlete_id", "distance_label")
         .agg(
             F.count(F.lit(1)).alias("n"),

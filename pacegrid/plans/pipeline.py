@@ -44,13 +44,15 @@ def refresh_athletes(profiles: DataFrame, root: str) -> None:
 
 
 def new_summaries(load: Load, summaries: DataFrame) -> DataFrame:
-    """One row of each activity that silver does not have yet."""
+    """One row of each activity that silver does not have yet, written aside."""
     rows = conform(summaries, WAITING).where("activity_id IS NOT NULL")
     rows = load.staged(dedupe_on(rows, ["activity_id"]))
+    if not load.holds("silver/Activities"):
+        return rows
     # The keys of touched buckets alone are read.
     touched = [r.b for r in rows.select(bucket_of(["activity_id"], load.store.buckets).alias("b")).distinct().collect()]
     done = load.read("silver/Activities", schema.SILVER["Activities"], buckets=touched).select("activity_id")
-    return rows.join(done, "activity_id", "left_anti")
+    return load.staged(rows.join(done, "activity_id", "left_anti"))
 
 
 def points_to_enrich(load: Load, candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -87,10 +89,11 @@ def enrich(load: Load, summaries: DataFrame) -> None:
     wait too. So a run reads the points that came since the last one, and of earlier ones
     those that were waited for.
     """
-    waiting = load.staged(load.read("silver/Waiting", WAITING))
-    fresh = load.staged(new_summaries(load, summaries))
+    # Folders that a load has read stay as they are when it refreshes their table.
+    waiting = load.read("silver/Waiting", WAITING)
+    fresh = new_summaries(load, summaries)
     points, unclaimed = points_to_enrich(load, fresh.unionByName(waiting))
-    points, unclaimed = load.staged(points), load.staged(unclaimed)
+    points = load.staged(points)
     found = load.staged(points.select("activity_id").distinct())
     load_layers(load, streams.km_splits(points), "RunSplitKilometer")
     ready = fresh.unionByName(waiting.join(found, "activity_id", "left_semi"))
