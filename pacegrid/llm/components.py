@@ -15,7 +15,8 @@ def stars(edges: DataFrame, larger: bool) -> DataFrame:
     aggregated before the join, so a node of many edges is no group of many rows.
     """
     u, v = F.col("u"), F.col("v")
-    both = edges.unionByName(edges.select(v.alias("u"), u.alias("v")))
+    ends = F.array(F.struct(u.alias("u"), v.alias("v")), F.struct(v.alias("u"), u.alias("v")))
+    both = edges.select(F.explode(ends).alias("end")).select("end.u", "end.v")
     around = both if larger else both.where(v < u)
     least = around.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("least", "u").alias("least"))
     joined = around.join(least, "u")
@@ -32,7 +33,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """``node, component`` (the least node) of every node of ``edges`` (``u, v``, integers).
 
     Large and small stars take turns until nothing moves; the number of rounds grows with
-    the logarithm of the nodes. Each round is written, so none is computed twice.
+    the logarithm of the nodes. Each star is written, so none is computed twice and the plan of
+    a step stays as small as that of the first.
     """
     now = written(edges.where("u != v").distinct(), "edges")
     before = None
@@ -41,6 +43,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
-        now = written(stars(stars(now, True), False), "edges")
+        now = written(stars(written(stars(now, True), "edges"), False), "edges")
     members = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return members.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

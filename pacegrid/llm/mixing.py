@@ -251,14 +251,34 @@ def rate_of(
     A step takes ``step`` times the gradient away: the misses of all domains by the posterior,
     and the pull towards ``start``.
     """
+    if not history:
+        return _between(F.lit(float(start)), bounds)
+    return stepped(posterior, history, start, pull, step, bounds)["rate"]
+
+
+def stepped(
+    posterior: Column, history: list[list[float]], start: float, pull: float, step: float | list[float],
+    bounds: tuple[float, float] = FREE
+) -> Column:
+    """The rate ``before`` the last of one or more steps, and the ``rate`` after it.
+
+    The numbers of the steps are constant arrays that one lambda goes through, so the expression
+    is as small after many steps as after one, and all passes of a fit run the same code.
+    """
     lengths = step if isinstance(step, list) else [step] * len(history)
-    rate = _between(F.lit(float(start)), bounds)
-    for misses, length in zip(history, lengths):
-        moved = rate * (1.0 - length * pull) + length * pull * start
-        for d, miss in enumerate(misses):
-            moved = moved - F.get(posterior, F.lit(d)) * (length * miss)
-        rate = _between(moved, bounds)
-    return rate
+    kept = numbers([1.0 - length * pull for length in lengths])
+    pulled = numbers([length * pull * start for length in lengths])
+    taken = [numbers([length * m for m, length in zip(of, lengths)]) for of in zip(*history)]
+
+    def follow(acc: Column, k: Column) -> Column:
+        rate = acc["rate"] * F.get(kept, k) + F.get(pulled, k)
+        for d, moves in enumerate(taken):
+            rate = rate - F.get(posterior, F.lit(d)) * F.get(moves, k)
+        return F.struct(acc["rate"].alias("before"), _between(rate, bounds).alias("rate"))
+
+    first = _between(F.lit(float(start)), bounds)
+    steps = F.sequence(F.lit(0), F.lit(len(history) - 1))
+    return F.aggregate(steps, F.struct(first.alias("before"), first.alias("rate")), follow)
 
 
 @dataclass
@@ -368,11 +388,12 @@ def solve(
         def at(history: list, lengths: list) -> tuple[np.ndarray, float, float]:
             """Domain totals at the rates after some steps, how far these are from the start
             and how far the last step went, in squares, as shares of all tokens: one pass."""
-            before = data.withColumn("_b", rate_of(posterior, history[:-1], start, PULL, lengths[:-1], bounds))
-            last = F.col("_b") * (1.0 - lengths[-1] * PULL) + lengths[-1] * PULL * start if history else F.col("_b")
-            for d in domains if history else ():
-                last = last - F.col(f"p{d}") * (lengths[-1] * history[-1][d])
-            rates = before.withColumn("_r", _between(last, bounds))
+            still = F.lit(float(np.clip(start, *bounds)))
+            if history:
+                found = data.withColumn("_s", stepped(posterior, history, start, PULL, lengths, bounds))
+            else:
+                found = data.withColumn("_s", F.struct(still.alias("before"), still.alias("rate")))
+            rates = found.withColumn("_b", F.col("_s.before")).withColumn("_r", F.col("_s.rate"))
             r = F.col("_r")
             row = rates.agg(
                 *(F.sum(r * t * F.col(f"p{d}")) for d in domains),

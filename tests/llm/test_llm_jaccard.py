@@ -128,3 +128,18 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components.connected_components(df).collect()}
     loops = {a for a, b in edges if a == b} - {n for a, b in edges if a != b for n in (a, b)}
     assert got == {n: root(n) for n in parent if n not in loops}
+
+
+def test_a_star_step_is_a_small_plan(spark, monkeypatch):
+    """Every step reads its edges a few times, and not again for each earlier step."""
+    leaves, whole = [], components.written
+
+    def watched(df, purpose):
+        leaves.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return whole(df, purpose)
+
+    monkeypatch.setattr(components, "written", watched)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(6)], "u long, v long")
+    found = {tuple(r) for r in components.connected_components(edges).collect()}
+    assert found == {(i, 0) for i in range(7)}
+    assert max(leaves) <= 3, leaves

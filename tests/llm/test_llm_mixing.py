@@ -59,6 +59,16 @@ def test_rates_follow_sequential_steps(spark):
         assert abs(x - r) < 1e-12
 
 
+def test_a_rate_is_as_small_after_many_steps(spark):
+    """The driver plans a pass over the documents for every step."""
+    df = spark.createDataFrame([(0.4, 0.6)], "a double, b double")
+    sizes = []
+    for n in (2, 40):
+        rate = mixing.rate_of(F.array("a", "b"), [[0.3, -0.2]] * n, 1.2, 0.01, 3.0)
+        sizes.append(df.select(rate)._jdf.queryExecution().optimizedPlan().toString().count("least("))
+    assert sizes[0] == sizes[1], sizes
+
+
 def test_empty_tables(spark):
     documents = spark.createDataFrame([], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
