@@ -9,6 +9,17 @@ from pyspark.sql import functions as F
 HEAVY_SHARE = 1 / 256
 #: Keys that the sketch counts at a time; counts are off by two rows in so many at most.
 TRACKED = 8192
+#: Keys that a join may send to every task: about 10 MB of numbers once they are hashed.
+MOST_SENT = 100_000
+
+
+def merged_if_many(side: DataFrame, keys: int) -> DataFrame:
+    """The right side of a join, sorted and merged rather than broadcast if it has many keys.
+
+    Spark plans by the size of compressed files. An id among others in order takes a byte or two
+    there, and 50 to 110 in the hash table that the driver would make, so their number decides.
+    """
+    return side.hint("merge") if keys > MOST_SENT else side
 
 
 def heavy_keys(df: DataFrame, on: str) -> DataFrame:
@@ -26,7 +37,9 @@ def heavy_keys(df: DataFrame, on: str) -> DataFrame:
     return heavy.select(F.col("_item").alias(on), F.ceil(share).cast("int").alias("_salts"))
 
 
-def salted_join(big: DataFrame, small: DataFrame, on: str, how: str, spread_by: list[str]) -> DataFrame:
+def salted_join(
+    big: DataFrame, small: DataFrame, on: str, how: str, spread_by: list[str], keys: int = 0
+) -> DataFrame:
     """Join on ``on`` with the rows of heavy keys of ``big`` spread over tasks.
 
     ``small`` holds few rows per key. Rows of a heavy key get one of as many salts as the key
@@ -34,7 +47,7 @@ def salted_join(big: DataFrame, small: DataFrame, on: str, how: str, spread_by:
     row's number per key in all, and not at all without heavy keys. The salt of a row comes
     from columns that vary within a key, ``spread_by``, and from its partition, which sets
     exact copies apart; it is the same when a lost task runs again. Works for inner, left,
-    left_semi and left_anti.
+    left_semi and left_anti. ``keys``: how many ``small`` has, if known; see ``merged_if_many``.
     """
     # Bounded by the definition of heavy: 256 rows.
     heavy = F.broadcast(heavy_keys(big, on))
@@ -42,4 +55,5 @@ def salted_join(big: DataFrame, small: DataFrame, on: str, how: str, spread_by:
     place = F.xxhash64(*spread_by) % 1024 + F.spark_partition_id()
     salted = big.join(heavy, on, "left").withColumn("_salt", F.pmod(place, salts).cast("int")).drop("_salts")
     repeated = small.join(heavy, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-    return salted.join(repeated.drop("_salts"), [on, "_salt"], how).drop("_salt")
+    repeated = merged_if_many(repeated.drop("_salts"), keys)
+    return salted.join(repeated, [on, "_salt"], how).drop("_salt")

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pacegrid.operators.joins import salted_join
+from pacegrid.operators.joins import merged_if_many, salted_join
 from pacegrid.sources.tables import bucket_of
 
 POINTER = "current.json"
@@ -240,8 +240,13 @@ class Load:
 
     def _touched(self, df: DataFrame, entry: dict, keys: list[str]) -> list[int]:
         """At most as many numbers as there are buckets."""
-        rows = df.select(bucket_of(keys, entry["buckets"]).alias("b")).distinct().collect()
-        return sorted(row.b for row in rows)
+        return sorted(self._counted(df, entry, keys))
+
+    def _counted(self, df: DataFrame, entry: dict, keys: list[str]) -> dict[int, int]:
+        """The touched buckets, and about how many keys each gets."""
+        bucket = bucket_of(keys, entry["buckets"]).alias("b")
+        n = F.approx_count_distinct(F.xxhash64(*keys)).alias("n")
+        return {row.b: row.n for row in df.groupBy(bucket).agg(n).collect()}
 
     def append(self, table: str, batch: DataFrame, keys: list[str]) -> str:
         """Add all rows; gives the name of their folder."""
@@ -270,10 +275,13 @@ class Load:
         if self.holds(table):
             batch = batch if written else self.staged(batch)
             keys = batch.where(F.col(key).isNotNull()).select(key).distinct()
-            known = self.known_keys(table, key, batch.schema[key].dataType, self._touched(keys, entry, [key]))
-            fresh = self.staged(keys.join(known, key, "left_anti"))
+            counted = self._counted(keys, entry, [key])
+            known = self.known_keys(table, key, batch.schema[key].dataType, sorted(counted))
+            # The known keys are not counted, and grow with the table: never sent to every task.
+            fresh = self.staged(keys.join(known.hint("merge"), key, "left_anti"))
+            n = sum(counted.values())
             others = [c for c, t in batch.dtypes if c != key and not t.startswith("map")]
-            chosen = salted_join(batch, fresh, key, "left_semi", others or [key]).select(*batch.columns)
+            chosen = salted_join(batch, fresh, key, "left_semi", others or [key], n).select(*batch.columns)
             self.append(table, chosen.unionByName(batch.where(F.col(key).isNull())), [key])
         else:
             added = self.append(table, batch, [key])
@@ -289,11 +297,13 @@ class Load:
         """Delete all rows that share a key tuple with the batch, then add the batch."""
         entry = self._entry(table, batch.schema, keys, "replace")
         batch = self.staged(batch)
-        touched = self._touched(batch, entry, keys)
+        counted = self._counted(batch, entry, keys)
+        touched = sorted(counted)
         if not touched:
             return
         old = self.read(table, batch.schema, buckets=touched)
-        kept = old.join(batch.select(*keys).distinct(), keys, "left_anti").select(*batch.columns)
+        new = merged_if_many(batch.select(*keys).distinct(), sum(counted.values()))
+        kept = old.join(new, keys, "left_anti").select(*batch.columns)
         name = self._write(table, entry, kept.unionByName(batch), keys)
         gone = set(touched)
         parts = {n: [b for b in live if b not in gone] for n, live in entry["parts"].items()}

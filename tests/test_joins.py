@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,6 +30,24 @@ def test_same_rows_as_a_plain_join(spark, how):
     assert found.exceptAll(expected).isEmpty()
 
 
+def ran(df):
+    """How a plan joins, and what kind of join it is, as it was when it had run."""
+    done = df._jdf.queryExecution()
+    done.toRdd().count()
+    last = done.executedPlan().toString().partition("== Initial Plan ==")[0]
+    found = (re.search(r"(\w+Join) .*(Inner|Left\w+)", line) for line in last.splitlines())
+    return [m.groups() for m in found if m]
+
+
+def test_many_keys_are_merged(spark):
+    big, small = sides(spark)
+    for keys, kind in ((joins.MOST_SENT, "BroadcastHashJoin"), (joins.MOST_SENT + 1, "SortMergeJoin")):
+        found = joins.salted_join(big, small, "k", "left_semi", ["n"], keys)
+        assert [how for how, of in ran(found) if of == "LeftSemi"] == [kind]
+        assert found.exceptAll(big.join(small, "k", "left_semi").select(found.columns)).isEmpty()
+        assert found.count() == big.join(small, "k", "left_semi").count()
+
+
 def test_heavy_keys_are_spread_and_others_are_not_repeated(spark):
     big, _ = sides(spark)
     heavy = {r.k: r._salts for r in joins.heavy_keys(big, "k").collect()}

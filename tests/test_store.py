@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from pacegrid import schema
 from pacegrid.operators import calendar, quality
 from pacegrid.plans import pipeline
+from pacegrid.plans.queries import QUERIES
 from pacegrid.sources import store as stores
 from pacegrid.sources.layers import load_layers
 from pacegrid.sources.store import Conflict, Load, Store
 from pacegrid.streaming import ingest
+from test_joins import ran
 from test_pipeline import BEST_HEADER, counts, summaries, write_activity
 
 
@@ -327,6 +329,49 @@ def test_a_first_load_is_written_once(spark, tmp_path):
     assert sorted(r.k for r in store.read("t.keys").collect()) == [1, 2]
 
 
+def test_keys_of_large_loads_are_merged_and_of_small_ones_sent(spark, tmp_path, monkeypatch):
+    """Ids in order take next to nothing in files; the driver would hash and send them all."""
+    planned, staged, write = [], Load.staged, Load._write
+
+    def seen(df):
+        planned.extend(how for how, of in ran(df) if of in ("LeftAnti", "LeftSemi"))
+        return df
+
+    monkeypatch.setattr(Load, "staged", lambda self, df: staged(self, seen(df)))
+    monkeypatch.setattr(Load, "_write", lambda self, table, entry, df, keys: write(self, table, entry, seen(df), keys))
+    store = Store(spark, str(tmp_path), buckets=4)
+
+    def bring(turn, ids, v):
+        planned.clear()
+        rows = ids.select(F.col("id").alias("k"), F.lit(v).alias("v"))
+        store.once("x", turn, lambda load: (load.upsert("latest", rows, "k"), load.insert_only("oldest", rows, "k")))
+        return planned
+
+    def counts_of(name):
+        return {r.v: r["count"] for r in store.read(name).groupBy("v").count().collect()}
+
+    assert bring(0, spark.range(300_000), 0) == []
+    assert bring(1, spark.range(200_000, 400_000), 1) == ["SortMergeJoin"] * 3
+    assert counts_of("latest") == {0: 200_000, 1: 200_000} and counts_of("oldest") == {0: 300_000, 1: 100_000}
+    # The known keys are as many as ever.
+    assert sorted(bring(2, spark.range(399_990, 400_010), 2)) == ["BroadcastHashJoin"] * 2 + ["SortMergeJoin"]
+    assert counts_of("latest") == {0: 200_000, 1: 199_990, 2: 20}
+    assert counts_of("oldest") == {0: 300_000, 1: 100_000, 2: 10}
+
+
+def test_store_load_sends_neither_table_to_every_task(spark, tmp_path):
+    days = ["2000-01-01", "2001-01-01", "2001-07-15"]  # in the first load, in both, in the second
+    rows = [(i, 10 + i, 11987.0 * (i + 1), dt.datetime.fromisoformat(days[i % 3])) for i in range(30)]
+    orders = spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    found = QUERIES["store_load"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted((r.activity_id, r.athlete_id, r.distance_km, r.first_km) for r in found.collect()) == [
+        (i, 10 + i, (i + 1) * (1.0, 2.0, 2.0)[i % 3], (i + 1) * (1.0, 1.0, 2.0)[i % 3]) for i in range(30)
+    ]
+
+
 def test_gzipped_files(spark, tmp_path):
     raw, root = tmp_path / "raw", str(tmp_path / "lake")
     raw.mkdir()
